@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from countlake.functions.parsing import reading_date, standard_name, whole_number
 from countlake.operators.matching import correct_names
@@ -16,18 +17,26 @@ LAST_COUNTER_ID = 10
 REJECT_REASONS = ["bad_date", "null_agency", "bad_count", "bad_sensor", "bad_unit"]
 
 
+def _number(readings: DataFrame, name: str) -> Column:
+    """Text is parsed; a number column is used as it is, so its filter can be
+    pushed into the scan."""
+    if isinstance(readings.schema[name].dataType, T.IntegerType):
+        return F.col(name)
+    return whole_number(name)
+
+
 def with_date(readings: DataFrame) -> DataFrame:
     return readings.withColumn("date", reading_date("date_time"))
 
 
 def keep_counted(readings: DataFrame) -> DataFrame:
     """Only measured, positive counts: drops text, zero and the sentinels."""
-    typed = readings.withColumn("visitor_count", whole_number("visitor_count"))
+    typed = readings.withColumn("visitor_count", _number(readings, "visitor_count"))
     return typed.filter(F.col("visitor_count") > 0)
 
 
 def keep_known_sensors(readings: DataFrame) -> DataFrame:
-    typed = readings.withColumn("counter_id", whole_number("counter_id"))
+    typed = readings.withColumn("counter_id", _number(readings, "counter_id"))
     return typed.filter(F.col("counter_id").between(FIRST_COUNTER_ID, LAST_COUNTER_ID))
 
 

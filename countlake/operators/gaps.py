@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countlake.functions.calendar import HOUR_MULTIPLIERS, is_open
+from countlake.session import write_through
 
 _SLOT = ["agency_name", "counter_id", "date", "hour"]
 
@@ -21,15 +22,16 @@ def missing_hours(
     """Open hours of each sensor without any reading, to be fetched again.
 
     Sensors default to those seen in the readings, the span to the readings'
-    first and last date. Both come from one pass that keeps one row per
-    sensor, and the readings are reduced to distinct sensor hours before they
-    meet the grid, so repeated readings of one hour do not pile up.
+    first and last date. What is not given comes from one extra pass that
+    keeps one row per sensor. The readings are reduced to distinct sensor
+    hours before they meet the grid, so repeats of one hour do not pile up.
     """
-    seen = readings.groupBy("agency_name", "counter_id").agg(
-        F.min("date").alias("first"), F.max("date").alias("last")
-    )
-    if sensors is None:
-        sensors = seen
+    if sensors is None or start is None or end is None:
+        seen = readings.groupBy("agency_name", "counter_id").agg(
+            F.min("date").alias("first"), F.max("date").alias("last")
+        )
+        seen = write_through(seen, "sensors")
+        sensors = sensors if sensors is not None else seen
     grid = sensors.select("agency_name", "counter_id").distinct()
     first = F.lit(start) if start else seen.agg(F.min("first")).scalar()
     last = F.lit(end) if end else seen.agg(F.max("last")).scalar()

@@ -48,7 +48,9 @@ def _best_of(entries: Column) -> Column:
 
 def _match_in_array(names: DataFrame, entries: DataFrame) -> DataFrame:
     known = entries.agg(F.collect_list("entry").alias("known")).scalar()
-    return names.select("agency_name", _best_of(known).alias("best"))
+    return names.select("agency_name", known.alias("known")).select(
+        "agency_name", _best_of(F.col("known")).alias("best")
+    )
 
 
 def _one_removed(text: Column) -> Column:
@@ -88,14 +90,13 @@ def _match_by_keys(names: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
-def _match_by_chunks(names: DataFrame, entries: DataFrame, entry_count: int) -> DataFrame:
-    """Exact best entry for names far from all others.
+def _match_by_chunks(names: DataFrame, entries: DataFrame, chunk_count: int) -> DataFrame:
+    """Exact best entry for names that are far from every entry.
 
-    The dictionary is cut into arrays of about ``ARRAY_ENTRIES``; each name
-    meets each array once and keeps one candidate from it. A second key spreads
-    the names that meet the same array over several tasks.
+    The dictionary is cut into arrays of bounded size; each name meets each
+    array once and keeps one candidate from it. A second key spreads the names
+    that meet the same array over several tasks.
     """
-    chunk_count = -(-entry_count // ARRAY_ENTRIES)
     chunks = (
         entries.groupBy(F.pmod(F.xxhash64("entry"), F.lit(chunk_count)).alias("chunk"))
         .agg(F.collect_list("entry").alias("known"))
@@ -104,7 +105,7 @@ def _match_by_chunks(names: DataFrame, entries: DataFrame, entry_count: int) ->
     placed = names.select(
         "agency_name",
         F.pmod(F.xxhash64("agency_name"), F.lit(NAME_SPREAD)).cast("int").alias("spread"),
-        F.explode(F.sequence(F.lit(0), F.lit(chunk_count - 1))).cast("long").alias("chunk"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunk_count - 1).cast("long"))).alias("chunk"),
     )
     return (
         placed.join(chunks, ["chunk", "spread"])
@@ -139,7 +140,8 @@ def closest_match(
             long_names = names.filter(F.length("agency_name") > INDEXED_LENGTH)
         else:
             long_names = names.join(near, "agency_name", "left_anti")
-        far = _match_by_chunks(long_names, entries, size.n)
+        chunk_count = max(-(-size.n // array_entries), -(-size.chars // ARRAY_CHARS))
+        far = _match_by_chunks(long_names, entries, chunk_count)
         found = near.unionByName(far)
         best = names.join(found, "agency_name", "left")
     match = F.col("best.closest_match")

@@ -28,11 +28,11 @@ def one_row_per_key(daily: DataFrame) -> DataFrame:
 def new_days(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming rows whose key is not stored yet.
 
-    Only the key columns of the stored table are read and shuffled; the
-    incoming side arrives from its aggregation already placed by the same key.
+    Only the key columns of the stored table are read and shuffled, and only
+    the rows that remain are reduced to one per key.
     """
-    dated = one_row_per_key(incoming.filter("date is not null"))
-    return dated.join(existing.select(*DAILY_KEY), DAILY_KEY, "left_anti")
+    dated = incoming.filter("date is not null")
+    return one_row_per_key(dated.join(existing.select(*DAILY_KEY), DAILY_KEY, "left_anti"))
 
 
 def new_undated(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -147,6 +147,6 @@ def partial_update(
         for c in base.columns
         if c != "updated_at"
     ]
-    old = F.col("updated_at") if "updated_at" in base.columns else F.lit(None).cast("timestamp")
+    old = F.col("updated_at") if "updated_at" in base.columns else F.lit(None)
     stamp = F.when(F.col("_key").isNotNull(), updated_at).otherwise(old)
     return joined.select(*kept, stamp.alias("updated_at"))

@@ -428,7 +428,7 @@ def partial_update(spark: SparkSession, sf: str) -> DataFrame:
         view(spark, sf, "v_branch_updates"),
         key="id",
         columns=["name", "city", "postal_code", "is_active"],
-        updated_at=F.lit(UPDATED_AT),
+        updated_at=F.lit(UPDATED_AT).cast("timestamp_ntz"),
     )
 
 

@@ -10,7 +10,7 @@ from countlake.operators.cleaning import clean_readings
 from countlake.operators.merge import merge_into, recompute_into
 from countlake.operators.metrics import daily_counts, daily_metrics
 from countlake.session import build_session
-from countlake.sources.daily_table import read_agencies
+from countlake.sources.agencies import read_agencies
 from countlake.sources.raw_csv import read_raw_readings
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from countlake.operators.cleaning import clean_readings
 from countlake.operators.merge import merge_into, recompute_into
 from countlake.operators.metrics import daily_counts, daily_metrics
+from countlake.session import build_session
+from countlake.sources.agencies import read_agencies
 from countlake.sources.raw_csv import LINE_SCHEMA, map_by_header, typed_readings, with_file_origin
 
 READING_COLUMNS = ["date_time", "date", "agency_name", "counter_id", "visitor_count", "unit"]
@@ -63,9 +67,13 @@ def start_ingest(
         if on_conflict == "keep":
             merge_into(session, daily_path, daily_metrics(own))
             return
-        # A handful of days per run; Spark prunes the date folders by them.
-        days = own.select("date").distinct()
-        recompute_into(session, daily_path, daily_counts(stored.join(days, "date", "left_semi")))
+        span = own.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+        if span["first"] is None:
+            return
+        # The span prunes the date folders; the join then keeps the touched days.
+        in_span = stored.filter(F.col("date").between(span["first"], span["last"]))
+        touched = in_span.join(own.select("date").distinct(), "date", "left_semi")
+        recompute_into(session, daily_path, daily_counts(touched))
 
     return (
         lines.writeStream.foreachBatch(write_batch)
@@ -73,3 +81,31 @@ def start_ingest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Ingest raw files that landed since the last run")
+    parser.add_argument("--raw", required=True, help="folder the raw CSV files land in")
+    parser.add_argument("--agencies", help="agency dimension (Parquet) for name correction")
+    parser.add_argument("--readings", required=True, help="cleaned readings table")
+    parser.add_argument("--daily", required=True, help="daily metrics table")
+    parser.add_argument("--checkpoint", required=True, help="checkpoint of this stream")
+    parser.add_argument("--on-conflict", choices=["keep", "recompute"], default="keep")
+    parser.add_argument("--max-distance", type=int)
+    args = parser.parse_args(argv)
+    spark = build_session("countlake-ingest")
+    start_ingest(
+        spark,
+        args.raw,
+        read_agencies(spark, args.agencies) if args.agencies else None,
+        args.readings,
+        args.daily,
+        args.checkpoint,
+        args.on_conflict,
+        args.max_distance,
+    ).awaitTermination()
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
