@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
             "spark.default.parallelism": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "4000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
         },
     )
