@@ -2,30 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_TEXT_FIELDS = ["agency_name", "date_time", "unit"]
-
 # First failing field wins, in this order.
-_CHECK_ORDER = ["agency_name", "date_time", "visitor_count", "unit", "counter_id"]
+_FIELDS = ["agency_name", "date_time", "visitor_count", "unit", "counter_id"]
+_NUMBERS = ["visitor_count", "counter_id"]
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used.
+
+    Plain columns would be copied into each use when filters are pushed down,
+    and the text parsed again for each copy.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
 
+def _parsed(json: Column) -> Column:
+    """The fields as variants; null for anything but one JSON object."""
+    schema = ", ".join(f"{name} variant" for name in _FIELDS) + ", corrupt string"
+    parsed = F.from_json(json, schema, {"columnNameOfCorruptRecord": "corrupt"})
+    return F.when(F.ltrim(json).startswith("{"), parsed)
 
-def _kind(field: str) -> Column:
-    return F.schema_of_variant(F.variant_get("record", f"$.{field}", "variant"))
 
+def _string(field: Column) -> Column:
+    """The text of a JSON string; null for any other JSON type."""
+    return F.when(F.schema_of_variant(field) == "STRING", field.try_cast("string"))
 
-def _text(field: str) -> Column:
-    return F.variant_get("record", f"$.{field}", "string")
 
+def _integer(field: Column) -> Column:
+    """A JSON integer, or a number or text that holds one; else null."""
+    text = field.try_cast("string")
+    return F.coalesce(text.try_cast("int"), F.regexp_replace(text, r"\.0*$", "").try_cast("int"))
 
-def _integer(field: str) -> Column:
-    """JSON integers, and numbers or text that hold one; else null."""
-    whole = F.regexp_extract(_text(field), r"^\s*([+-]?\d+)(\.0*)?\s*$", 1)
-    return F.when(
-        _kind(field).isin("BIGINT", "STRING") | _kind(field).startswith("DECIMAL"),
-        whole.try_cast("int"),
-    ).when(_kind(field) == "BOOLEAN", F.variant_get("record", f"$.{field}", "boolean").cast("int"))
+
+def _typed(record: Column) -> Column:
+    return F.struct(
+        *[
+            (_integer if name in _NUMBERS else _string)(record[name]).alias(name)
+            for name in _FIELDS
+        ],
+        (record.isNull() | record["corrupt"].isNotNull()).alias("malformed"),
+        record["counter_id"].try_cast("string").isNotNull().alias("has_counter"),
+    )
+
+
+def _judged(typed: Column) -> Column:
+    error = F.when(typed["malformed"], F.lit("malformed"))
+    for name in _FIELDS:
+        bad = typed[name].isNull()
+        error = error.when(bad & typed["has_counter"] if name == "counter_id" else bad, F.lit(name))
+    return F.struct(*[typed[name].alias(name) for name in _FIELDS], error.alias("error"))
 
 
 def validate_records(df: DataFrame, json_column: str = "json") -> DataFrame:
@@ -34,24 +64,9 @@ def validate_records(df: DataFrame, json_column: str = "json") -> DataFrame:
     agency_name, date_time, visitor_count and unit are required; counter_id
     may be absent or null. Text fields must be JSON strings.
     """
-    parsed = df.select(
-        F.col(json_column).alias("json"), F.try_parse_json(json_column).alias("record")
-    )
-    fields = parsed.select(
-        "json",
-        F.col("record").isNull().alias("malformed"),
-        *[F.when(_kind(f) == "STRING", _text(f)).alias(f) for f in _TEXT_FIELDS],
-        _integer("visitor_count").alias("visitor_count"),
-        _integer("counter_id").alias("counter_id"),
-        F.coalesce(_kind("counter_id") != "VOID", F.lit(False)).alias("has_counter"),
-    )
-    error = F.when(F.col("malformed"), F.lit("malformed"))
-    for name in _CHECK_ORDER:
-        bad = F.col(name).isNull()
-        error = error.when(bad & F.col("has_counter") if name == "counter_id" else bad, F.lit(name))
-    return fields.select(
-        "json", "agency_name", "date_time", "visitor_count", "unit", "counter_id", error.alias("error")
-    )
+    checked = _once(_once(_parsed(F.col(json_column)), _typed), _judged)
+    judged = df.select(F.col(json_column).alias("json"), checked.alias("checked"))
+    return judged.select("json", "checked.*")
 
 
 def read_records(df: DataFrame, json_column: str = "json") -> DataFrame:

@@ -100,7 +100,9 @@ def record(**changes):
         (record(counter_id={}), "counter_id"),
         ("{", "malformed"),
         ("", "malformed"),
-        ("[1]", "agency_name"),
+        ("[1]", "malformed"),
+        ("[" + record() + "]", "malformed"),
+        (" " + record(), None),
     ],
 )
 def test_record_validation(spark, text, error):
