@@ -371,6 +371,13 @@ def relative_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.relative_alerts(serving.agency_rollup(daily_long(spark, sf)), FACTOR)
 
 
+@query
+def traffic_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert table of a view over several agencies."""
+    shown = serving.traffic_view(daily_long(spark, sf), ["nation_4", "nation_9"], [1995, 1996])
+    return alerts.relative_alerts(shown, FACTOR)
+
+
 # --- merge and updates ---------------------------------------------------
 
 
@@ -484,6 +491,13 @@ def validate_footfall(spark: SparkSession, sf: str) -> DataFrame:
     return quality.violation_counts(view(spark, sf, "v_footfall"), quality.footfall_rules())
 
 
+@query
+def invalid_footfall(spark: SparkSession, sf: str) -> DataFrame:
+    flagged = quality.with_violations(view(spark, sf, "v_footfall"), quality.footfall_rules())
+    broken = flagged.filter(F.size("violations") > 0)
+    return broken.withColumn("violations", F.concat_ws(",", "violations"))
+
+
 @query
 def validate_branch(spark: SparkSession, sf: str) -> DataFrame:
     branches = quality.with_branch_defaults(view(spark, sf, "v_branches"))

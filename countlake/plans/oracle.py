@@ -270,6 +270,12 @@ select *, round_even(daily_visitor_count / prev_avg_4_visits * 100, 0) / 100 as
 from (select date, agency_name, daily_visitor_count, prev_avg_4_visits from rollup_long
       where prev_avg_4_visits > 0 and daily_visitor_count > cast(1.2 as double) * prev_avg_4_visits
       order by daily_visitor_count desc, date, agency_name limit 10)""",
+    "traffic_alerts": """
+select *, round_even(daily_visitor_count / prev_avg_4_visits * 100, 0) / 100 as ratio
+from (select date, agency_name, daily_visitor_count, prev_avg_4_visits from rollup_long
+      where agency_name in ('nation_4', 'nation_9') and year(date) in (1995, 1996)
+      and prev_avg_4_visits > 0 and daily_visitor_count > cast(1.2 as double) * prev_avg_4_visits
+      order by daily_visitor_count desc, date, agency_name limit 10)""",
     "merge_daily": _MERGED,
     "merge_daily_table": _MERGED,
     "recompute_daily_table": "select * from redone",
@@ -324,6 +330,16 @@ select unnest(['branch_id_present', 'detector_id_max_50', 'timestamp_present', '
                count(*) filter (coalesce(exit_count < 0, true))]) as violations,
        count(*) as rows_checked
 from v_footfall""",
+    "invalid_footfall": """
+select * from (
+  select *, concat_ws(',', case when branch_id is null then 'branch_id_present' end,
+           case when coalesce(length(detector_id) > 50, true) then 'detector_id_max_50' end,
+           case when timestamp is null then 'timestamp_present' end,
+           case when coalesce(visitor_count < 0, true) then 'visitor_count_min_0' end,
+           case when coalesce(entry_count < 0, true) then 'entry_count_min_0' end,
+           case when coalesce(exit_count < 0, true) then 'exit_count_min_0' end) as violations
+  from v_footfall)
+where violations <> ''""",
     "validate_branch": """
 select unnest(['name_max_100', 'address_max_200', 'city_max_50', 'postal_code_max_10']) as rule,
        unnest([count(*) filter (coalesce(length(name) > 100, true)), count(*) filter (coalesce(length(address) > 200, true)),

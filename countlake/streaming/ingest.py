@@ -19,9 +19,9 @@ READING_COLUMNS = ["date_time", "date", "agency_name", "counter_id", "visitor_co
 
 
 def read_clean_readings(spark: SparkSession, path: str) -> DataFrame:
+    """All batches, or the folder of one. Date and batch come from the folders."""
     schema = (
-        "date_time string, agency_name string, counter_id int, visitor_count int, unit string,"
-        " batch_id long, date date"
+        "date_time string, date date, agency_name string, counter_id int, visitor_count int, unit string"
     )
     return spark.read.schema(schema).parquet(path)
 
@@ -54,16 +54,17 @@ def start_ingest(
         text = map_by_header(batch).filter("has_header")
         clean = clean_readings(typed_readings(text), dictionary, max_distance=max_distance)
         own_folder = f"{readings_path}/batch_id={batch_id}"
+        # Rebalancing gathers each date's rows for few files and splits a date
+        # that is too large, without a sampling pass over the raw files.
         (
             clean.select(*READING_COLUMNS)
-            .repartitionByRange("date", "agency_name", "counter_id", "date_time")
+            .hint("rebalance", "date")
             .write.mode("overwrite")
             .partitionBy("date")
             .parquet(own_folder)
         )
         session = batch.sparkSession
-        stored = read_clean_readings(session, readings_path)
-        own = stored.filter(F.col("batch_id") == batch_id)
+        own = read_clean_readings(session, own_folder)
         if on_conflict == "keep":
             merge_into(session, daily_path, daily_metrics(own))
             return
@@ -71,6 +72,7 @@ def start_ingest(
         if span["first"] is None:
             return
         # The span prunes the date folders; the join then keeps the touched days.
+        stored = read_clean_readings(session, readings_path)
         in_span = stored.filter(F.col("date").between(span["first"], span["last"]))
         touched = in_span.join(own.select("date").distinct(), "date", "left_semi")
         recompute_into(session, daily_path, daily_counts(touched))
