@@ -117,8 +117,7 @@ def ingest_json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def ingest_json_errors(spark: SparkSession, sf: str) -> DataFrame:
-    checked = records.validate_records(view(spark, sf, "v_json"))
-    return checked.filter("error is not null").select("json", "error")
+    return records.rejected_records(view(spark, sf, "v_json"))
 
 
 @query

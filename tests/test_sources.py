@@ -96,6 +96,10 @@ def record(**changes):
         (record(agency_name="absent"), "agency_name"),
         (record(date_time=None), "date_time"),
         (record(unit=True), "unit"),
+        (record(unit={"a": 1}), "unit"),
+        (record(agency_name="17"), None),
+        (record(agency_name="true"), None),
+        (record(agency_name='say "hi" [x]'), None),
         (record(counter_id="first"), "counter_id"),
         (record(counter_id={}), "counter_id"),
         ("{", "malformed"),
