@@ -541,11 +541,8 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "windows")
     event_schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    events = (
-        spark.readStream.schema(event_schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf)
-    )
+    # A pattern, so that the table may be one file or a folder of files.
+    events = spark.readStream.schema(event_schema).parquet(f"{sf}/events.parquet*")
     readings = events.select(
         F.col("ts").cast(T.TimestampType()).alias("event_ts"),
         F.concat(F.lit("nation_"), (F.col("user_id") % 5).cast("string")).alias("agency_name"),

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from countlake.functions import parsing
 from countlake.operators import cleaning
 from countlake.operators.matching import correct_names
 
@@ -20,6 +21,21 @@ def test_date_text_must_fit_the_format(spark):
     assert got == {0: dt.date(2025, 1, 1), 1: None, 2: None, 3: None, 4: None, 5: None}
 
 
+def test_date_shortcut_agrees_with_the_format_parser(spark):
+    texts = [
+        f"{day} {time}"
+        for day in (
+            "2024-02-29", "2023-02-29", "2024-00-10", "2024-13-01", "2024-04-31", "0000-01-01", "0001-01-01",
+            "9999-12-31", "1582-10-10", "+12024-01-01", "-2024-01-01", "2024-1-01", "24-01-01", "2024/01/01",
+        )
+        for time in ("00:00", "23:59", "24:00", "12:60", "1:00", "01:00:00", "01:00 ", "01:00\n", "")
+    ]
+    df = spark.createDataFrame([(t,) for t in texts + [" 2024-01-01 10:00", "", None]], "t string")
+    both = df.select("t", parsing.reading_date("t").alias("a"), F.to_date(parsing.reading_time("t")).alias("b"))
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+    assert both.filter("a is not null").count() > 8
+
+
 def test_only_positive_whole_counts_stay(spark):
     texts = [" 10", "10.0", "", "abc", "-1", "-10", "0", "99999999999", "+5", None, "7", "2147483647"]
     df = spark.createDataFrame([(t,) for t in texts], "visitor_count string")
