@@ -12,7 +12,13 @@ from countlake.operators.metrics import rolling_metrics
 from countlake.operators.serving import in_date_range
 from countlake.schemas import DAILY_KEY, DAILY_METRICS
 from countlake.session import write_through
-from countlake.sources.daily_table import read_daily, replace_months, write_daily
+from countlake.sources.agencies import path_is_missing
+from countlake.sources.daily_table import (
+    PARTITION_COLUMNS,
+    read_daily,
+    replace_months,
+    write_daily,
+)
 
 _SENSOR = ["agency_name", "counter_id"]
 _COUNTS = ["date", "agency_name", "counter_id", "unit", "daily_visitor_count"]
@@ -56,12 +62,18 @@ def merge_daily(existing: DataFrame, incoming: DataFrame, undated: bool = False)
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table; None where nothing has been stored yet."""
     try:
-        return read_daily(spark, path)
+        stored = read_daily(spark, path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if path_is_missing(error):
             return None
         raise
+    if set(PARTITION_COLUMNS) <= set(stored.columns):
+        return stored
+    if stored.isEmpty():
+        return None
+    raise ValueError(f"{path} is not partitioned by year and month: copy it with write_daily first")
 
 
 def _date_span(df: DataFrame) -> tuple[dt.date | None, dt.date | None, int]:
@@ -84,7 +96,7 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     """
     existing = _stored(spark, path)
     if existing is None:
-        write_daily(one_row_per_key(incoming), path)
+        write_daily(one_row_per_key(incoming), path, mode="append")
         return
     incoming = write_through(incoming, "incoming")
     first, last, undated = _date_span(incoming)
@@ -104,7 +116,7 @@ def recompute_into(spark: SparkSession, path: str, counts: DataFrame) -> None:
     """
     existing = _stored(spark, path)
     if existing is None:
-        write_daily(rolling_metrics(counts), path)
+        write_daily(rolling_metrics(counts), path, mode="append")
         return
     counts = write_through(counts.select(*_COUNTS), "counts")
     first, _, undated = _date_span(counts)

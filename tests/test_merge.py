@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from countlake.operators import merge, metrics
 from countlake.schemas import DAILY_METRICS
-from countlake.sources.daily_table import read_daily
+from countlake.sources.daily_table import read_daily, write_daily
 
 COUNTS = "date date, agency_name string, counter_id int, unit string, daily_visitor_count long"
 START = dt.date(2024, 1, 1)
@@ -98,6 +98,25 @@ def test_recompute_needs_dates(spark, tmp_path):
         merge.recompute_into(spark, path, counts(spark, range(1)).withColumn("date", F.lit(None).cast("date")))
 
 
+def test_a_flat_table_is_copied_before_merging(spark, tmp_path):
+    flat, path = str(tmp_path / "flat"), str(tmp_path / "daily")
+    old = metrics.rolling_metrics(counts(spark, range(5)))
+    old.write.parquet(flat)
+    new = metrics.rolling_metrics(counts(spark, range(8), add=1))
+    with pytest.raises(ValueError, match="write_daily"):
+        merge.merge_into(spark, flat, new)
+    write_daily(read_daily(spark, flat), path)
+    merge.merge_into(spark, path, new)
+    assert table(read_daily(spark, path)) == table(merge.merge_daily(old, new))
+
+
+def test_an_empty_folder_counts_as_no_table(spark, tmp_path):
+    path = tmp_path / "daily"
+    path.mkdir()
+    merge.merge_into(spark, str(path), metrics.rolling_metrics(counts(spark, range(5))))
+    assert read_daily(spark, str(path)).count() == 10
+
+
 def test_upsert(spark):
     base = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     updates = spark.createDataFrame([(20, "b"), (30, "c")], "v int, k string")

@@ -51,6 +51,13 @@ def test_files_without_a_header_are_reported(spark, tmp_path):
     assert [(r.source_file.rsplit("/", 1)[1], r.line_count) for r in missing] == [("bad.csv", 2)]
 
 
+def test_no_file_has_a_header(spark, tmp_path):
+    raw = tmp_path / "raw"
+    write(raw, "bad.csv", "a,b,c,d,e", "date_time,agency_name,counter_id,visitor_count")
+    assert raw_csv.read_raw_text(spark, str(raw)).isEmpty()
+    assert raw_csv.headerless_files(spark, str(raw)).first().line_count == 2
+
+
 def test_the_first_header_line_rules(spark, tmp_path):
     raw = tmp_path / "raw"
     write(raw, "a.csv", EXTRACTOR, "A,2025-01-01 10:00,1,visitors,2", DECLARED, "B,2025-01-01 11:00,1,visitors,2")
