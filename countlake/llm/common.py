@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def word_count(text: Column) -> Column:
 
 def byte_sizes(column: pa.Array) -> list[int]:
     """Bytes of each value of a string or binary column, 0 for null."""
-    return [n or 0 for n in pa.compute.binary_length(column).to_pylist()]
+    return [n or 0 for n in pc.binary_length(column).to_pylist()]
 
 
 def pieces(

@@ -4,17 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlake.llm import exact_dedup, mixing
+from countlake.llm import byte_bpe, exact_dedup, mixing, token_store
 from countlake.llm.common import read_table
+from countlake.session import shared_dir
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "tokens")
+    token_store.write(
+        read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json")
+    )
+    rows = token_store.checksums(token_store.read(spark, path))
+    return rows.withColumnRenamed("key", "doc_id")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"),
@@ -27,6 +46,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op8_token_store": op8_token_store,
     "op10_mixing": op10_mixing,
 }
 
