@@ -8,11 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlake.llm import byte_bpe, exact_dedup, mixing, token_store
+from countlake.llm import byte_bpe, exact_dedup, mixing, token_store, warc_archive
 from countlake.llm.common import read_table
 from countlake.session import shared_dir
 
 
+def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    warc_archive.write(read_table(spark, sf_dir, "pages"), path)
+    return warc_archive.read(spark, path).select(
+        F.col("key").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +57,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc_archive": op2_warc_archive,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_token_store": op8_token_store,
@@ -53,6 +66,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc_archive": """
+        WITH t AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        u AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS newest FROM t)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id < newest
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id < newest
+                    THEN newest END AS refers_to
+        FROM u
+    """,
     "op3_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
