@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlake.llm import byte_bpe, exact_dedup, mixing, token_store, warc_archive
+from countlake.llm import byte_bpe, exact_dedup, mixing, token_store, url_filter, warc_archive
 from countlake.llm.common import read_table
 from countlake.session import shared_dir
 
@@ -37,6 +37,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "tokens")
     token_store.write(
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": op2_warc_archive,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_url_filter": op6_url_filter,
     "op8_token_store": op8_token_store,
     "op10_mixing": op10_mixing,
 }
