@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlake.llm import byte_bpe, exact_dedup, mixing, token_store, url_filter, warc_archive
+from countlake.llm import byte_bpe, exact_dedup, mixing, token_store, url_filter, vector_search, warc_archive
 from countlake.llm.common import read_table
 from countlake.session import shared_dir
 
@@ -50,6 +50,10 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("key", "doc_id")
 
 
+def op9_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"),
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_url_filter": op6_url_filter,
     "op8_token_store": op8_token_store,
+    "op9_vector_search": op9_vector_search,
     "op10_mixing": op10_mixing,
 }
 
