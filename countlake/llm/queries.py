@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlake.llm import byte_bpe, exact_dedup, mixing, token_store, url_filter, vector_search, warc_archive
+from countlake.llm import (
+    byte_bpe,
+    exact_dedup,
+    mixing,
+    quality,
+    token_store,
+    url_filter,
+    vector_search,
+    warc_archive,
+)
 from countlake.llm.common import read_table
 from countlake.session import shared_dir
 
@@ -41,6 +50,14 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).withColumn(
+        "predicted", (F.col("score") >= quality.GOOD).cast("int")
+    )
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "tokens")
     token_store.write(
@@ -69,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_url_filter": op6_url_filter,
+    "op7_quality": op7_quality,
     "op8_token_store": op8_token_store,
     "op9_vector_search": op9_vector_search,
     "op10_mixing": op10_mixing,
