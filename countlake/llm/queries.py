@@ -12,6 +12,7 @@ from countlake.llm import (
     byte_bpe,
     exact_dedup,
     mixing,
+    near_dedup,
     quality,
     token_store,
     url_filter,
@@ -38,6 +39,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(
         read_table(spark, sf_dir, "documents"),
@@ -84,6 +89,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": op2_warc_archive,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_near_dedup": op4_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_url_filter": op6_url_filter,
     "op7_quality": op7_quality,
