@@ -14,6 +14,7 @@ from countlake.llm import (
     mixing,
     near_dedup,
     quality,
+    substring_dedup,
     token_store,
     url_filter,
     vector_search,
@@ -23,6 +24,13 @@ from countlake.llm.common import read_table
 from countlake.session import shared_dir
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
     warc_archive.write(read_table(spark, sf_dir, "pages"), path)
@@ -87,6 +95,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_warc_archive": op2_warc_archive,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_near_dedup": op4_near_dedup,
