@@ -130,10 +130,9 @@ def drop_duplicates(
         F.xxhash64(F.substring("__plain", 1, prefix_chars)).alias("__prefix"),
     )
     candidates = write_through(_candidates(keyed.select(*_PREFIX)), "exact-candidates")
-    single = keyed.join(candidates, _PREFIX, "left_anti").select("__row")
-    survivors = keyed.join(candidates, _PREFIX, "left_semi").withColumn(
-        "__digest", _digest(without_spaces(body))
-    )
+    met = keyed.join(candidates.withColumn("__again", F.lit(True)), _PREFIX, "left")
+    single = met.where(F.col("__again").isNull()).select("__row")
+    survivors = met.where("__again").withColumn("__digest", _digest(without_spaces(body)))
     best = (
         survivors.withColumn("__chars", F.length(body))
         .withColumn("__key", F.col("__row")[key])

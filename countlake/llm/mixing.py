@@ -467,20 +467,23 @@ def draw(docs: DataFrame, **options) -> DataFrame:
     text, key, source = (
         options.get(k, d) for k, d in (("text", "text"), ("key", "doc_id"), ("source", "source"))
     )
+    def same(id: Column, source: Column, size: Column) -> Column:
+        return F.xxhash64(id.isNull(), id, source.isNull(), source, size)
+
     placed = mix(docs, **options).select(
-        "id", "source", "size", "text_hash", "order_key", F.explode("placements").alias("place")
+        same(F.col("id"), F.col("source"), F.col("size")).alias("__same"),
+        F.col("text_hash").alias("__text_hash"),
+        "order_key",
+        F.explode("placements").alias("place"),
     )
-    names = ["id", "source", "size", "text_hash"]
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
-        F.col(key).alias("__id"),
-        F.col(source).alias("__source"),
-        word_count(F.col(text)).alias("__size"),
+        same(F.col(key), F.col(source), word_count(F.col(text))).alias("__same"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__text_hash"),
-    ).dropDuplicates([f"__{n}" for n in names])
-    same = [F.col(f"__{n}").eqNullSafe(F.col(n)) for n in names]
+    ).dropDuplicates(["__same", "__text_hash"])
     return (
-        packed.join(placed, same[0] & same[1] & same[2] & same[3])
+        packed.join(placed, ["__same", "__text_hash"])
+        .select("__row", "order_key", "place")
         .withColumn("order_key", F.xxhash64("order_key", "place.pass"))
         .repartition("place.shard", F.pmod("order_key", F.lit(SLICES)))
         .sortWithinPartitions("place.shard", "order_key")
