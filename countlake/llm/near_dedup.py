@@ -412,7 +412,8 @@ def _links(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
         .where(F.col("turn") <= HUBS)
         .select("node")
     )
-    first = write_through(_ask(large, large.join(hubs, "node")), "near-hub-links")
+    asking = write_through(large.join(hubs, "node"), "near-hubs")
+    first = write_through(_ask(large, asking), "near-hub-links")
     parts = (
         large.select("family", "node")
         .join(components(first), "node", "left")
@@ -423,8 +424,8 @@ def _links(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
         F.max_by("component", F.struct("n", "component")).alias("component")
     )
     outside = parts.join(biggest, ["family", "component"], "left_anti").select("node")
-    rest = _ask(large, large.join(outside, "node"))
-    return near.union(first).union(rest)
+    asking = write_through(large.join(outside, "node"), "near-outside")
+    return near.union(first).union(_ask(large, asking))
 
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
