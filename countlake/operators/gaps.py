@@ -35,9 +35,12 @@ def missing_hours(
     grid = sensors.select("agency_name", "counter_id").distinct()
     first = F.lit(start) if start else seen.agg(F.min("first")).scalar()
     last = F.lit(end) if end else seen.agg(F.max("last")).scalar()
+    tasks = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hours = F.array(*[F.lit(h) for h in sorted(HOUR_MULTIPLIERS)])
     expected = (
-        grid.withColumn("date", F.explode(F.sequence(first, last)))
+        # Few rows become very many: they are dealt out before they unfold.
+        grid.repartition(tasks, "agency_name", "counter_id")
+        .withColumn("date", F.explode(F.sequence(first, last)))
         .withColumn("hour", F.explode(hours))
         .filter(is_open(F.col("date"), F.col("hour")))
     )

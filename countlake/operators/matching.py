@@ -7,11 +7,12 @@ runs once per distinct unknown name, never per reading.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countlake.functions.parsing import standard_name
-from countlake.session import write_through
+from countlake.session import path_is_missing, write_through
 
 # A dictionary up to this size is compared as one array inside each name's row.
 ARRAY_ENTRIES = 2000
@@ -81,8 +82,10 @@ def _match_by_keys(names: DataFrame, entries: DataFrame) -> DataFrame:
     keyed_entries = entries.filter(F.length("entry") <= INDEXED_LENGTH + INDEXED_DISTANCE).select(
         "entry", F.explode(_removal_keys(F.col("entry"))).alias("key")
     )
+    # The keys of a text are many times its size, which the optimizer can't see:
+    # both sides are shuffled, never broadcast.
     return (
-        keyed_names.join(keyed_entries, "key")
+        keyed_names.hint("shuffle_merge").join(keyed_entries, "key")
         .select("agency_name", _scored(F.col("entry")).alias("best"))
         .filter(F.col("best.distance") <= INDEXED_DISTANCE)
         .groupBy("agency_name")
@@ -108,7 +111,7 @@ def _match_by_chunks(names: DataFrame, entries: DataFrame, chunk_count: int) ->
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunk_count - 1).cast("long"))).alias("chunk"),
     )
     return (
-        placed.join(chunks, ["chunk", "spread"])
+        placed.hint("shuffle_merge").join(chunks, ["chunk", "spread"])
         .select("agency_name", _best_of(F.col("known")).alias("best"))
         .groupBy("agency_name")
         .agg(F.min("best").alias("best"))
@@ -159,8 +162,43 @@ def apply_corrections(readings: DataFrame, corrections: DataFrame) -> DataFrame:
     )
 
 
+def _fingerprint(dictionary: DataFrame, max_distance: int | None) -> str:
+    """Tells one dictionary and cutoff from another."""
+    marks = dictionary_entries(dictionary).agg(
+        F.count("*"), F.sum(F.xxhash64("entry").cast("decimal(38,0)"))
+    )
+    return f"{marks.first()}/{max_distance}"
+
+
+def stored_corrections(
+    names: DataFrame, dictionary: DataFrame, max_distance: int | None, path: str
+) -> DataFrame:
+    """Corrections of ``names``; only names without a stored one are matched, and then stored.
+
+    A change of the dictionary or the cutoff leaves earlier corrections unused.
+    """
+    spark = names.sparkSession
+    mark = _fingerprint(dictionary, max_distance)
+    schema = "agency_name string, closest_match string, dictionary string"
+    try:
+        known = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if not path_is_missing(error):
+            raise
+        known = spark.createDataFrame([], schema)
+    known = known.filter(F.col("dictionary") == mark).select("agency_name", "closest_match")
+    unseen = write_through(names.join(known, "agency_name", "left_anti"), "unseen")
+    found = write_through(closest_match(unseen, dictionary, max_distance), "matched")
+    if not found.isEmpty():
+        found.withColumn("dictionary", F.lit(mark)).write.mode("append").parquet(path)
+    return known.unionByName(found).distinct()
+
+
 def correct_names(
-    readings: DataFrame, dictionary: DataFrame | None, max_distance: int | None = None
+    readings: DataFrame,
+    dictionary: DataFrame | None,
+    max_distance: int | None = None,
+    corrections_path: str | None = None,
 ) -> DataFrame:
     """Readings with unknown names replaced by their closest known name.
 
@@ -171,5 +209,9 @@ def correct_names(
     if dictionary is None:
         return readings
     names = unmatched_names(readings, dictionary)
-    corrections = write_through(closest_match(names, dictionary, max_distance), "corrections")
+    if corrections_path:
+        found = stored_corrections(names, dictionary, max_distance, corrections_path)
+    else:
+        found = closest_match(names, dictionary, max_distance)
+    corrections = write_through(found, "corrections")
     return apply_corrections(readings, corrections)

@@ -20,16 +20,26 @@ def daily_counts(readings: DataFrame) -> DataFrame:
     )
 
 
+def sum_of_counts(counts: DataFrame) -> DataFrame:
+    """Daily counts that were summed under several names, summed once more."""
+    return counts.groupBy("date", "agency_name", "counter_id", "unit").agg(
+        F.sum("daily_visitor_count").alias("daily_visitor_count")
+    )
+
+
 def monthly_counts(daily: DataFrame) -> DataFrame:
     return daily.groupBy(
         F.year("date").alias("year"), F.month("date").alias("month"), "agency_name", "counter_id"
     ).agg(F.sum("daily_visitor_count").alias("monthly_visitor_count"))
 
 
-def _same_weekday() -> Window:
+WEEKDAY_GROUP = ["agency_name", "counter_id", "weekday"]
+
+
+def same_weekday() -> Window:
     """Days of one sensor and weekday. A group holds at most one row per week
     and unit, however many readings the sensor has."""
-    return Window.partitionBy("agency_name", "counter_id", "weekday").orderBy("date")
+    return Window.partitionBy(*WEEKDAY_GROUP).orderBy("date", "unit")
 
 
 def with_weekday(daily: DataFrame) -> DataFrame:
@@ -42,7 +52,7 @@ def with_rolling_average(daily: DataFrame) -> DataFrame:
 
     Rows are counted, not weeks: a missing week does not shorten the window.
     """
-    last_four = _same_weekday().rowsBetween(-3, Window.currentRow)
+    last_four = same_weekday().rowsBetween(-3, Window.currentRow)
     return daily.withColumn(
         "avg_visits_4_weekday", F.round(F.avg("daily_visitor_count").over(last_four))
     )
@@ -50,7 +60,7 @@ def with_rolling_average(daily: DataFrame) -> DataFrame:
 
 def with_previous_average(daily: DataFrame) -> DataFrame:
     return daily.withColumn(
-        "prev_avg_4_visits", F.lag("avg_visits_4_weekday").over(_same_weekday())
+        "prev_avg_4_visits", F.lag("avg_visits_4_weekday").over(same_weekday())
     )
 
 
@@ -59,14 +69,17 @@ def with_pct_change(daily: DataFrame) -> DataFrame:
     return daily.withColumn("pct_change", F.round(change))
 
 
-def rolling_metrics(daily: DataFrame) -> DataFrame:
-    """All metric columns on daily counts; the windows share one shuffle."""
+def rolling_metrics(daily: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """All metric columns on daily counts; the windows share one shuffle.
+
+    ``keep`` names further columns to carry along.
+    """
     return (
         daily.transform(with_weekday)
         .transform(with_rolling_average)
         .transform(with_previous_average)
         .transform(with_pct_change)
-        .select(*DAILY_METRICS.names)
+        .select(*DAILY_METRICS.names, *(keep or []))
     )
 
 

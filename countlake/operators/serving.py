@@ -100,6 +100,8 @@ def filter_time(df: DataFrame, start: dt.date, end: dt.date, years: list[int]) -
     """Inclusive date range and a set of years. No date column: unchanged."""
     if "date" not in df.columns:
         return df
+    if "year" in df.columns:  # prunes folders
+        df = df.filter(F.col("year").isin(years))
     return in_date_range(with_native_date(df), start, end).filter(F.year("date").isin(years))
 
 
@@ -110,6 +112,8 @@ def filter_months_weeks(
     if "date" not in df.columns:
         return df
     if months:
+        if "month" in df.columns:  # prunes folders
+            df = df.filter(F.col("month").isin(month_numbers(months)))
         df = df.filter(F.month("date").isin(month_numbers(months)))
     if weeks:
         df = df.filter(F.weekofyear("date").isin(weeks))
@@ -183,6 +187,8 @@ def traffic_view(
     if agencies and years:
         start = start or dt.date(min(years), 1, 1)
         end = end or dt.date(max(years), 12, 31)
+        # Filtered by day before the rollup, as the folders of a stored table are.
+        chosen = filter_months_weeks(filter_time(daily, start, end, years), months, weeks)
     else:
         chosen = daily.filter(F.lit(False))
     if counter_id is not None and len(agencies) == 1:
@@ -190,9 +196,6 @@ def traffic_view(
     else:
         no_sensor = F.lit(None).cast("int")
         rows = agency_rollup(chosen, agencies, start, end).withColumn("counter_id", no_sensor)
-    if start is not None and end is not None:
-        rows = filter_time(rows, start, end, years)
-    rows = filter_months_weeks(rows, months, weeks)
     return rows.select(
         "date",
         "agency_name",

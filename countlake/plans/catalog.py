@@ -86,6 +86,46 @@ def scan_raw_readings(spark: SparkSession, sf: str) -> DataFrame:
     return raw_csv.read_raw_readings(spark, land_raw_files(spark, sf))
 
 
+def land_mixed_files(spark: SparkSession, sf: str) -> str:
+    """Three layouts: as declared, with a column in between and other case, without a header."""
+    path = shared_dir(spark, "raw")
+    raw = view(spark, sf, "v_raw_dirty").withColumn("name", F.coalesce("agency_name", F.lit("")))
+    usual = raw.filter("name not like '%3' and name not like '%4'")
+    raw_csv.write_raw_csv(usual.select(*RAW_COLUMNS), path)
+    wide = raw.filter("name like '%3'").select(
+        F.col("unit").alias("Unit"),
+        F.lit("note, with a comma").alias("remark"),
+        F.col("date_time").alias("Date_Time"),
+        F.col("agency_name").alias("AGENCY_NAME"),
+        "visitor_count",
+        "counter_id",
+    )
+    raw_csv.write_raw_csv(wide, path, mode="append")
+    bare = raw.filter("name like '%4'").select(*RAW_COLUMNS)
+    bare.write.mode("append").option("header", False).csv(path)
+    return path
+
+
+@query
+def scan_raw_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    return raw_csv.read_raw_readings(spark, land_mixed_files(spark, sf))
+
+
+@query
+def transform_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines left out by the batch job, by reason; with the readings kept they are all lines."""
+    folder = shared_dir(spark, "rejects")
+    run_transform(
+        spark,
+        land_mixed_files(spark, sf),
+        view(spark, sf, "v_dictionary"),
+        f"{folder}/daily",
+        rejects_path=f"{folder}/rejects",
+    )
+    rejects = spark.read.parquet(f"{folder}/rejects")
+    return rejects.groupBy("reason").agg(F.count("*").alias("row_count"))
+
+
 @query
 def write_raw_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "raw")
@@ -193,6 +233,13 @@ def closest_match(spark: SparkSession, sf: str) -> DataFrame:
     return matching.closest_match(unmatched_names(spark, sf), view(spark, sf, "v_dictionary"))
 
 
+@query
+def closest_match_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The matcher for large dictionaries: all customers, names with one to five letters changed."""
+    names = view(spark, sf, "v_misspelled").select("agency_name").distinct()
+    return matching.closest_match(names, view(spark, sf, "v_customer_names"), array_entries=100)
+
+
 @query
 def correct_agency_name(spark: SparkSession, sf: str) -> DataFrame:
     named = cleaning.standardise_names(view(spark, sf, "v_raw_dirty"))
@@ -325,6 +372,19 @@ def traffic_view(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def traffic_view_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The same view over the stored table, whose folders the year and month sets prune."""
+    path = shared_dir(spark, "daily")
+    daily_table.write_daily(daily_long(spark, sf), path)
+    return serving.traffic_view(
+        daily_table.read_daily(spark, path),
+        ["nation_4", "nation_9", "nation_11"],
+        [1995, 1997],
+        months=["March", "April", "October"],
+    )
+
+
 @query
 def traffic_view_agency(spark: SparkSession, sf: str) -> DataFrame:
     return serving.traffic_view(daily(spark, sf), ["nation_2"], [2024], threshold_pct=35)
@@ -401,6 +461,14 @@ def merge_daily_table(spark: SparkSession, sf: str) -> DataFrame:
     return daily_table.read_daily(spark, path).select(*DAILY_METRICS.names)
 
 
+@query
+def merge_daily_units(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of a second unit come in beside the stored ones."""
+    known = daily(spark, sf)
+    late = known.filter(F.col("date") >= F.lit(MERGE_CUT))
+    return merge.merge_daily(known, known.unionByName(late.withColumn("unit", F.lit("entries"))))
+
+
 @query
 def recompute_daily_table(spark: SparkSession, sf: str) -> DataFrame:
     """Stored counts from the cut on are replaced and their metrics redone."""
@@ -427,6 +495,30 @@ def agency_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return merge.upsert(known_agencies(spark, sf), updates, "agency_name")
 
 
+@query
+def agency_upsert_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Two updates per agency: the later one counts."""
+    later = dimensions.agency_dimension(view(spark, sf, "v_agency_updates"))
+    earlier = later.withColumn("agency_size", F.lit("small"))
+    updates = later.withColumn("seq", F.lit(2)).unionByName(earlier.withColumn("seq", F.lit(1)))
+    return merge.upsert(known_agencies(spark, sf), updates, "agency_name", order="seq")
+
+
+@query
+def partial_update_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Two updates per branch: per column the later value that is not null counts."""
+    later = view(spark, sf, "v_branch_updates").withColumn("seq", F.lit(2))
+    earlier = later.withColumn("city", F.lit("Old Town")).withColumn("name", F.lit("old"))
+    return merge.partial_update(
+        view(spark, sf, "v_branches"),
+        later.unionByName(earlier.withColumn("seq", F.lit(1))),
+        key="id",
+        columns=["name", "city", "postal_code", "is_active"],
+        updated_at=F.lit(UPDATED_AT).cast("timestamp_ntz"),
+        order="seq",
+    )
+
+
 @query
 def partial_update(spark: SparkSession, sf: str) -> DataFrame:
     return merge.partial_update(
@@ -537,6 +629,26 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return daily_table.read_daily(spark, daily_path).select(*DAILY_METRICS.names)
 
 
+@query
+def stream_ingest_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Files land in three parts, in order of date, with a run after each."""
+    folder = shared_dir(spark, "ingest")
+    raw = view(spark, sf, "v_raw_dirty")
+    for start, end in (("", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "~")):
+        part = raw.filter((F.col("date_time") >= start) & (F.col("date_time") < end))
+        raw_csv.write_raw_csv(part.select(*RAW_COLUMNS), f"{folder}/raw", mode="append")
+        start_ingest(
+            spark,
+            f"{folder}/raw",
+            view(spark, sf, "v_dictionary"),
+            f"{folder}/readings",
+            f"{folder}/daily",
+            f"{folder}/checkpoint",
+            rejects_path=f"{folder}/rejects",
+        ).awaitTermination()
+    return daily_table.read_daily(spark, f"{folder}/daily").select(*DAILY_METRICS.names)
+
+
 @query
 def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "windows")

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 
-from countlake.functions.calendar import HOUR_MULTIPLIERS, WEEKDAY_MULTIPLIERS
-from countlake.operators.dimensions import BASE_TRAFFIC, SENSORS_BY_SIZE
 from countlake.plans.views import TABLES, VIEWS
 
 _DAILY_COLUMNS = (
@@ -46,14 +44,24 @@ from {names} cross join (select distinct replace(lower(agency_name), ' ', '_') a
 group by agency_name"""
 
 
-_TRAFFIC = " ".join(
-    f"when agency_size = '{s}' and location_type = '{p}' then {t}" for (s, p), t in BASE_TRAFFIC.items()
+# Fixed values, written out here apart from those of the package.
+_TRAFFIC = """
+    when agency_size = 'small' and location_type = 'countryside' then 20
+    when agency_size = 'small' and location_type = 'mid_sized_city' then 50
+    when agency_size = 'small' and location_type = 'metropolis' then 80
+    when agency_size = 'medium' and location_type = 'countryside' then 40
+    when agency_size = 'medium' and location_type = 'mid_sized_city' then 100
+    when agency_size = 'medium' and location_type = 'metropolis' then 200
+    when agency_size = 'big' and location_type = 'countryside' then 100
+    when agency_size = 'big' and location_type = 'mid_sized_city' then 300
+    when agency_size = 'big' and location_type = 'metropolis' then 500"""
+_SENSORS = """
+    when location_type not in ('countryside', 'mid_sized_city', 'metropolis') then null
+    when agency_size = 'small' then 1 when agency_size = 'medium' then 2 when agency_size = 'big' then 3"""
+_WEEKDAYS = "[1.0::double, 1.25, 1.3, 1.6, 1.8, 0, 0]"
+_HOURS = (
+    "[0::double, 0, 0, 0, 0, 0, 0, 0, 0, 0.2, 0.25, 0.25, 0, 0.1, 0.1, 0.02, 0.03, 0.05, 0, 0, 0, 0, 0, 0]"
 )
-_SENSORS = " ".join(
-    f"when agency_size = '{s}' and location_type = '{p}' then {SENSORS_BY_SIZE[s]}" for s, p in BASE_TRAFFIC
-)
-_WEEKDAYS = "[" + ", ".join(f"cast({m} as double)" for m in WEEKDAY_MULTIPLIERS) + "]"
-_HOURS = "[" + ", ".join(f"cast({HOUR_MULTIPLIERS.get(h, 0.0)} as double)" for h in range(24)) + "]"
 _WEEKDAY_MULTIPLIER = f"{_WEEKDAYS}[isodow(date)]"
 _HOUR_MULTIPLIER = f"{_HOURS}[hour + 1]"
 
@@ -164,6 +172,16 @@ from v_raw_dirty""",
     "write_raw_csv": """
 select date_time, agency_name, counter_id, nullif(visitor_count, '') as visitor_count, unit from v_raw_dirty""",
     "scan_daily": "select * from v_daily",
+    "scan_raw_mixed": """
+select date_time, agency_name,
+       case when regexp_full_match(counter_id, '-?[0-9]+') then try_cast(counter_id as int) end as counter_id,
+       case when regexp_full_match(visitor_count, '-?[0-9]+') then try_cast(visitor_count as int) end as visitor_count,
+       unit
+from v_raw_dirty where coalesce(agency_name, '') not like '%4'""",
+    "transform_rejects": """
+select reason, count(*) as row_count
+from (select case when agency_name like '%4' then 'unmapped_file' else reason end as reason from judged)
+where reason is not null group by 1""",
     "write_daily": """
 select cast(year(date) as int) as year, cast(month(date) as int) as month, count(*) as row_count,
        cast(sum(daily_visitor_count) as bigint) as visitors
@@ -193,6 +211,11 @@ select date_time, agency_name, counter_id, visitor_count, unit, reason from judg
     "agency_dictionary": "select distinct replace(lower(agency_name), ' ', '_') as entry from v_dictionary",
     "unmatched_names": "select * from unmatched",
     "closest_match": "select * from corrections",
+    "closest_match_large": """
+select agency_name, arg_min(entry, (levenshtein(agency_name, entry), entry)) as closest_match
+from (select distinct agency_name from v_misspelled)
+cross join (select distinct replace(lower(agency_name), ' ', '_') as entry from v_customer_names)
+group by agency_name""",
     "correct_agency_name": "select agency_name, count(*) as reading_count from corrected group by 1",
     "daily_metrics": "select * from v_daily",
     "daily_visitors": "select * from counts",
@@ -236,6 +259,11 @@ select * from v_daily_metrics_long where month(date) in (1, 12) and weekofyear(d
     + """
 from (select *, cast(null as int) as counter_id from rollup_long)
 where agency_name in ('nation_4', 'nation_9', 'nation_11') and date between date '1995-01-01' and date '1997-12-31'
+and year(date) in (1995, 1997) and month(date) in (3, 4, 10)""",
+    "traffic_view_stored": _bands("1.2")
+    + """
+from (select *, cast(null as int) as counter_id from rollup_long)
+where agency_name in ('nation_4', 'nation_9', 'nation_11')
 and year(date) in (1995, 1997) and month(date) in (3, 4, 10)""",
     "traffic_view_agency": _bands("1.35")
     + """
@@ -278,12 +306,26 @@ from (select date, agency_name, daily_visitor_count, prev_avg_4_visits from roll
       order by daily_visitor_count desc, date, agency_name limit 10)""",
     "merge_daily": _MERGED,
     "merge_daily_table": _MERGED,
+    "merge_daily_units": f"""
+select {_DAILY_COLUMNS} from v_daily
+union all
+select * replace ('entries' as unit) from v_daily where date >= date '2024-01-20'""",
     "recompute_daily_table": "select * from redone",
     "transform_run": _metric_chain("clean_counts"),
     "agency_upsert": """
 select * from updated_dimension
 union all
 select * from dimension where agency_name not in (select agency_name from updated_dimension)""",
+    "agency_upsert_repeated": """
+select * from updated_dimension
+union all
+select * from dimension where agency_name not in (select agency_name from updated_dimension)""",
+    "partial_update_repeated": """
+select b.id, case when u.id is not null then coalesce(u.name, 'old') else b.name end as name, b.address,
+       case when u.id is not null then coalesce(u.city, 'Old Town') else b.city end as city,
+       coalesce(u.postal_code, b.postal_code) as postal_code, coalesce(u.is_active, b.is_active) as is_active,
+       case when u.id is not null then timestamp '2024-02-01 00:00:00' end as updated_at
+from v_branches b left join v_branch_updates u on b.id = u.id""",
     "partial_update": """
 select b.id, coalesce(u.name, b.name) as name, b.address, coalesce(u.city, b.city) as city,
        coalesce(u.postal_code, b.postal_code) as postal_code, coalesce(u.is_active, b.is_active) as is_active,
@@ -352,6 +394,7 @@ from v_branches""",
     "footfall_with_branch": """
 select f.*, b.name as branch_name, b.city as branch_city from v_footfall f join v_branches b on f.branch_id = b.id""",
     "stream_ingest": _metric_chain("clean_counts"),
+    "stream_ingest_batches": _metric_chain("clean_counts"),
     "stream_daily": "select date, agency_name, counter_id, daily_visitor_count from counts",
 }
 

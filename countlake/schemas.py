@@ -6,16 +6,6 @@ from pyspark.sql import types as T
 
 RAW_COLUMNS = ["date_time", "agency_name", "counter_id", "visitor_count", "unit"]
 
-RAW_READING = T.StructType(
-    [
-        T.StructField("date_time", T.StringType()),
-        T.StructField("agency_name", T.StringType()),
-        T.StructField("counter_id", T.IntegerType()),
-        T.StructField("visitor_count", T.IntegerType()),
-        T.StructField("unit", T.StringType()),
-    ]
-)
-
 DAILY_METRICS = T.StructType(
     [
         T.StructField("date", T.DateType()),
@@ -30,7 +20,7 @@ DAILY_METRICS = T.StructType(
     ]
 )
 
-DAILY_KEY = ["date", "agency_name", "counter_id"]
+DAILY_KEY = ["date", "agency_name", "counter_id", "unit"]
 
 AGENCY = T.StructType(
     [
@@ -41,32 +31,3 @@ AGENCY = T.StructType(
         T.StructField("counter_number", T.IntegerType()),
     ]
 )
-
-BRANCH = T.StructType(
-    [
-        T.StructField("id", T.IntegerType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("address", T.StringType()),
-        T.StructField("city", T.StringType()),
-        T.StructField("postal_code", T.StringType()),
-        T.StructField("latitude", T.DoubleType()),
-        T.StructField("longitude", T.DoubleType()),
-        T.StructField("is_active", T.BooleanType()),
-        T.StructField("created_at", T.TimestampType()),
-        T.StructField("updated_at", T.TimestampType()),
-    ]
-)
-
-FOOTFALL = T.StructType(
-    [
-        T.StructField("id", T.IntegerType()),
-        T.StructField("branch_id", T.IntegerType()),
-        T.StructField("detector_id", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("visitor_count", T.IntegerType()),
-        T.StructField("entry_count", T.IntegerType()),
-        T.StructField("exit_count", T.IntegerType()),
-        T.StructField("created_at", T.TimestampType()),
-        T.StructField("updated_at", T.TimestampType()),
-    ]
-)

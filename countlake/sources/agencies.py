@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import argparse
+
 from pyspark.sql import DataFrame, SparkSession
 
 from countlake.operators.dimensions import agency_dimension
 from countlake.schemas import AGENCY
+from countlake.session import build_session
 
 # The agencies a table is built from when there is none.
 DEFAULT_AGENCIES = [
@@ -29,16 +31,24 @@ def default_agencies(spark: SparkSession) -> DataFrame:
     return agency_dimension(spark.createDataFrame(DEFAULT_AGENCIES, keys))
 
 
-def path_is_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def build_agencies(spark: SparkSession, path: str) -> None:
+    """Writes the table of the default agencies; a path that exists is an error."""
+    default_agencies(spark).write.parquet(path)
 
 
 def read_agencies(spark: SparkSession, path: str) -> DataFrame:
-    """The table at ``path``; built from the default agencies if missing."""
-    try:
-        return spark.read.schema(AGENCY).parquet(path)
-    except AnalysisException as error:
-        if not path_is_missing(error):
-            raise
-    default_agencies(spark).write.parquet(path)
+    """The table at ``path``. A missing path is an error, not an empty table."""
     return spark.read.schema(AGENCY).parquet(path)
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Build the table of the default agencies")
+    parser.add_argument("--path", required=True, help="folder to write, which must not exist")
+    args = parser.parse_args(argv)
+    spark = build_session("countlake-agencies")
+    build_agencies(spark, args.path)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

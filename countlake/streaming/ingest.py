@@ -8,18 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from countlake.operators.cleaning import clean_readings
-from countlake.operators.merge import merge_into, recompute_into
-from countlake.operators.metrics import daily_counts, daily_metrics
-from countlake.session import build_session
+from countlake.operators.cleaning import (
+    corrected_counts,
+    judge_lines,
+    keep_valid,
+    standardise_names,
+)
+from countlake.operators.merge import append_counts, recompute_into
+from countlake.plans.transform import REJECT_COLUMNS
+from countlake.session import build_session, write_through
 from countlake.sources.agencies import read_agencies
-from countlake.sources.raw_csv import LINE_SCHEMA, map_by_header, typed_readings, with_file_origin
+from countlake.sources.raw_csv import map_by_header, typed_readings, with_file_origin
 
 READING_COLUMNS = ["date_time", "date", "agency_name", "counter_id", "visitor_count", "unit"]
 
 
 def read_clean_readings(spark: SparkSession, path: str) -> DataFrame:
-    """All batches, or the folder of one. Date and batch come from the folders."""
+    """All batches, or the folder of one, names in standard spelling but not corrected.
+
+    Date and batch come from the folders.
+    """
     schema = (
         "date_time string, date date, agency_name string, counter_id int, visitor_count int, unit string"
     )
@@ -35,29 +43,42 @@ def start_ingest(
     checkpoint_path: str,
     on_conflict: str = "keep",
     max_distance: int | None = None,
+    rejects_path: str | None = None,
+    corrections_path: str | None = None,
 ) -> StreamingQuery:
     """Reads all files that are new since the last run, then stops.
 
-    Each batch is cleaned once into its own folder of the readings table, by
-    date, and merged into the daily table. ``on_conflict`` "keep" leaves
-    stored days as they are; "recompute" redoes the touched days from all
-    stored readings. A batch that is replayed after a failure overwrites its
-    own folder and merges to the same table.
+    The valid readings of a batch go to its own folder of the readings table,
+    by date, with names in standard spelling; their daily counts, under
+    corrected names, are merged into the daily table. ``on_conflict`` "keep"
+    leaves stored days as they are and takes the baselines of new ones from
+    them; "recompute" redoes the touched days from all stored readings. Lines
+    left out, whole files without a header among them, go to ``rejects_path``
+    with their reason; without that path such a file fails the run, and is read
+    again by the next. A name is matched once for all runs: corrections are kept in
+    ``corrections_path``, by default beside the readings. A batch that is
+    replayed after a failure overwrites its own folders and merges to the same
+    table.
     """
+    corrections_path = corrections_path or f"{readings_path.rstrip('/')}_corrections"
     if on_conflict not in ("keep", "recompute"):
         raise ValueError(f"on_conflict must be 'keep' or 'recompute', not {on_conflict!r}")
-    lines = with_file_origin(
-        spark.readStream.schema(LINE_SCHEMA).option("header", False).csv(raw_path)
-    )
+    lines = with_file_origin(spark.readStream.text(raw_path))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        text = map_by_header(batch).filter("has_header")
-        clean = clean_readings(typed_readings(text), dictionary, max_distance=max_distance)
+        mapped = map_by_header(batch)
+        if rejects_path:
+            mapped = write_through(judge_lines(mapped), "judged")
+            rejected = mapped.filter("reason is not null").select(*REJECT_COLUMNS)
+            rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        elif not mapped.filter("not has_header").isEmpty():
+            raise ValueError("files without a header: give rejects_path to go on without them")
+        valid = standardise_names(keep_valid(typed_readings(mapped.filter("has_header"))))
         own_folder = f"{readings_path}/batch_id={batch_id}"
         # Rebalancing gathers each date's rows for few files and splits a date
         # that is too large, without a sampling pass over the raw files.
         (
-            clean.select(*READING_COLUMNS)
+            valid.select(*READING_COLUMNS)
             .hint("rebalance", "date")
             .write.mode("overwrite")
             .partitionBy("date")
@@ -65,8 +86,12 @@ def start_ingest(
         )
         session = batch.sparkSession
         own = read_clean_readings(session, own_folder)
+
+        def counts(readings: DataFrame) -> DataFrame:
+            return corrected_counts(readings, dictionary, max_distance, corrections_path)
+
         if on_conflict == "keep":
-            merge_into(session, daily_path, daily_metrics(own))
+            append_counts(session, daily_path, counts(own))
             return
         span = own.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
         if span["first"] is None:
@@ -75,7 +100,7 @@ def start_ingest(
         stored = read_clean_readings(session, readings_path)
         in_span = stored.filter(F.col("date").between(span["first"], span["last"]))
         touched = in_span.join(own.select("date").distinct(), "date", "left_semi")
-        recompute_into(session, daily_path, daily_counts(touched))
+        recompute_into(session, daily_path, counts(touched))
 
     return (
         lines.writeStream.foreachBatch(write_batch)
@@ -91,6 +116,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--agencies", help="agency dimension (Parquet) for name correction")
     parser.add_argument("--readings", required=True, help="cleaned readings table")
     parser.add_argument("--daily", required=True, help="daily metrics table")
+    parser.add_argument("--rejects", required=True, help="folder for the lines left out")
     parser.add_argument("--checkpoint", required=True, help="checkpoint of this stream")
     parser.add_argument("--on-conflict", choices=["keep", "recompute"], default="keep")
     parser.add_argument("--max-distance", type=int)
@@ -105,6 +131,7 @@ def main(argv: list[str] | None = None) -> None:
         args.checkpoint,
         args.on_conflict,
         args.max_distance,
+        args.rejects,
     ).awaitTermination()
     spark.stop()
 

@@ -93,9 +93,43 @@ def test_recompute_leaves_earlier_months_alone(spark, tmp_path):
 
 def test_recompute_needs_dates(spark, tmp_path):
     path = str(tmp_path / "daily")
+    undated = counts(spark, range(1)).withColumn("date", F.lit(None).cast("date"))
+    with pytest.raises(ValueError):
+        merge.recompute_into(spark, path, undated)
     merge.recompute_into(spark, path, counts(spark, range(3)))
     with pytest.raises(ValueError):
-        merge.recompute_into(spark, path, counts(spark, range(1)).withColumn("date", F.lit(None).cast("date")))
+        merge.recompute_into(spark, path, undated)
+
+
+def test_recompute_leaves_later_months_alone(spark, tmp_path):
+    path = tmp_path / "daily"
+    merge.append_counts(spark, str(path), counts(spark, range(400)))
+    before = {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    merge.recompute_into(spark, str(path), counts(spark, range(200, 205), add=5))
+    after = {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    changed = {f"{p.parent.parent.name}/{p.parent.name}" for p in after if before.get(p) != after[p]}
+    assert changed == {"year=2024/month=7", "year=2024/month=8"}
+    expected = metrics.rolling_metrics(
+        counts(spark, [d for d in range(400) if not 200 <= d < 205]).union(counts(spark, range(200, 205), add=5))
+    )
+    assert table(read_daily(spark, str(path))) == table(expected)
+
+
+@pytest.mark.parametrize("gap", [0, 3, 40, 200])
+def test_days_in_parts_equal_all_at_once(spark, tmp_path, gap):
+    path = str(tmp_path / "daily")
+    parts = [range(30), range(30 + gap, 44 + gap), range(44 + gap, 60 + gap)]
+    for part in parts:
+        merge.append_counts(spark, path, counts(spark, part))
+    merge.append_counts(spark, path, counts(spark, parts[1], add=7))  # stored days stay
+    days = [d for part in parts for d in part]
+    assert table(read_daily(spark, path)) == table(metrics.rolling_metrics(counts(spark, days)))
+
+
+def test_units_stay_side_by_side(spark):
+    old = metrics.rolling_metrics(counts(spark, range(2)))
+    entries = old.withColumn("unit", F.lit("entries"))
+    assert merge.merge_daily(old, entries).count() == 8
 
 
 def test_a_flat_table_is_copied_before_merging(spark, tmp_path):
@@ -123,6 +157,20 @@ def test_upsert(spark):
     assert sorted(tuple(r) for r in merge.upsert(base, updates, "k").collect()) == [("a", 1), ("b", 20), ("c", 30)]
 
 
+def test_the_last_of_several_updates_counts(spark):
+    base = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    updates = spark.createDataFrame([("a", 9, 1), ("a", 5, 2), ("c", 7, 1)], "k string, v int, seq int")
+    got = merge.upsert(base, updates, "k", order="seq").collect()
+    assert sorted(tuple(r) for r in got) == [("a", 5), ("b", 2), ("c", 7)]
+    base = spark.createDataFrame([(1, "n", "c")], "id int, name string, city string")
+    updates = spark.createDataFrame(
+        [(1, "x", "p", 1), (1, None, "q", 2)], "id int, name string, city string, seq int"
+    )
+    stamp = F.lit(dt.datetime(2024, 2, 1))
+    got = merge.partial_update(base, updates, "id", ["name", "city"], stamp, order="seq")
+    assert [tuple(r)[:3] for r in got.collect()] == [(1, "x", "q")]
+
+
 def test_partial_update_null_leaves_the_value(spark):
     stamp = dt.datetime(2024, 2, 1)
     base = spark.createDataFrame(

@@ -58,6 +58,20 @@ def test_no_file_has_a_header(spark, tmp_path):
     assert raw_csv.headerless_files(spark, str(raw)).first().line_count == 2
 
 
+def test_other_columns_case_and_width_do_not_matter(spark, tmp_path):
+    raw = tmp_path / "raw"
+    write(raw, "a.csv", DECLARED, "2025-01-01 10:00,A,1,1,visitors", "2025-01-01 11:00,A,1,1,visitors")
+    write(raw, "b.csv", "Agency_Name, site ,Date_Time,visitor_count,unit,counter_id,note", "B,x,2025-01-02 10:00,2,visitors,2,n")
+    write(raw, "c.csv", "2025-01-03 10:00,C,3,3,visitors")
+    mapped = raw_csv.map_by_header(raw_csv.read_lines(spark, str(raw)))
+    assert rows(mapped.filter("has_header")) == [
+        ("2025-01-01 10:00", "A", "1", "1", "visitors"),
+        ("2025-01-01 11:00", "A", "1", "1", "visitors"),
+        ("2025-01-02 10:00", "B", "2", "2", "visitors"),
+    ]
+    assert [r.value for r in mapped.filter("not has_header").collect()] == ["2025-01-03 10:00,C,3,3,visitors"]
+
+
 def test_the_first_header_line_rules(spark, tmp_path):
     raw = tmp_path / "raw"
     write(raw, "a.csv", EXTRACTOR, "A,2025-01-01 10:00,1,visitors,2", DECLARED, "B,2025-01-01 11:00,1,visitors,2")
@@ -138,8 +152,11 @@ def test_daily_table_is_read_whole_and_in_schema(spark, tmp_path):
     assert [r.counter_id for r in daily_table.peek(got, 2, "counter_id").collect()] == [0, 1]
 
 
-def test_agency_table_is_built_when_missing(spark, tmp_path):
+def test_agency_table_is_built_on_demand_only(spark, tmp_path):
     path = str(tmp_path / "agencies")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        agencies.read_agencies(spark, path)
+    agencies.build_agencies(spark, path)
     built = agencies.read_agencies(spark, path)
     assert built.count() == 11
     lyon = built.filter("agency_name = 'Lyon_1'").first()

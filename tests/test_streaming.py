@@ -64,6 +64,39 @@ def test_one_run_equals_the_batch_job(spark, tmp_path, known):
     assert read_clean_readings(spark, str(tmp_path / "readings")).count() == 90
 
 
+def test_parts_equal_one_run_in_every_column(spark, tmp_path, known):
+    for base, parts in (("parts", True), ("whole", False)):
+        (tmp_path / base).mkdir()
+        for i, days in enumerate((range(28), range(28, 42), range(90, 110))):
+            land(tmp_path / base / "raw", f"{i}.csv", HEADERS[i % 2], days)
+            if parts:
+                ingest(spark, tmp_path / base, known, "keep")
+    run_transform(spark, str(tmp_path / "whole" / "raw"), known, str(tmp_path / "whole" / "daily"))
+    streamed = table(read_daily(spark, str(tmp_path / "parts" / "daily")))
+    assert streamed == table(read_daily(spark, str(tmp_path / "whole" / "daily")))
+    # Each wrong spelling was matched once for all runs.
+    corrections = spark.read.parquet(str(tmp_path / "parts" / "readings_corrections"))
+    assert corrections.count() == corrections.distinct().count() == 1
+
+
+def test_lines_left_out_are_written(spark, tmp_path, known):
+    raw = tmp_path / "raw"
+    land(raw, "a.csv", HEADERS[0], range(3))
+    (raw / "b.csv").write_text("2025-01-06 10:00,Main Branch,0,5,visitors\n")
+    folder = {n: str(tmp_path / n) for n in ("readings", "daily", "checkpoint", "rejects", "batch")}
+    with pytest.raises(Exception, match="without a header"):
+        ingest(spark, tmp_path, known, "keep")
+    start_ingest(
+        spark, str(raw), known, folder["readings"], folder["daily"], folder["checkpoint"],
+        rejects_path=folder["rejects"],
+    ).awaitTermination()
+    run_transform(spark, str(raw), known, folder["batch"], rejects_path=f"{tmp_path}/r")
+    for path in (folder["rejects"], f"{tmp_path}/r"):
+        reasons = sorted(r.reason for r in spark.read.parquet(path).collect())
+        assert reasons == ["bad_date", "unmapped_file"]
+    assert table(read_daily(spark, folder["daily"])) == table(read_daily(spark, folder["batch"]))
+
+
 def test_keep_freezes_days_and_recompute_completes_them(spark, tmp_path, known):
     results = {}
     for policy in ("keep", "recompute"):
