@@ -101,6 +101,7 @@ def passages(words: Words) -> tuple[np.ndarray, np.ndarray]:
     sign = np.where(hashes >> np.uint64(63), 1.0, -1.0)
     signed = np.bincount(passage * _BUCKETS + bucket, sign, minlength=len(out) * _BUCKETS)
     out[:, at:] = signed.reshape(-1, _BUCKETS) / np.sqrt(per_word)[:, None]
+    out[size == 0] = 0
     return out, first
 
 
