@@ -38,7 +38,7 @@ def with_variation_sign(daily: DataFrame) -> DataFrame:
 
 def exceeding_days(daily: DataFrame, factor: float) -> DataFrame:
     actual, baseline = F.col("daily_visitor_count"), F.col("prev_avg_4_visits")
-    return daily.filter((baseline > 0) & (actual > F.lit(factor) * baseline))
+    return daily.filter(measures.exceeds(actual, baseline, factor))
 
 
 def alert_count(daily: DataFrame, factor: float) -> DataFrame:

@@ -21,7 +21,6 @@ ARRAY_CHARS = 1_000_000
 # Beyond it, names up to this length first look for entries within two edits.
 INDEXED_LENGTH = 64
 INDEXED_DISTANCE = 2
-NAME_SPREAD = 16
 
 
 def dictionary_entries(dictionary: DataFrame) -> DataFrame:
@@ -98,16 +97,19 @@ def _match_by_chunks(names: DataFrame, entries: DataFrame, chunk_count: int) ->
 
     The dictionary is cut into arrays of bounded size; each name meets each
     array once and keeps one candidate from it. A second key spreads the names
-    that meet the same array over several tasks.
+    that meet the same array, so that there are keys for all tasks however few
+    the arrays are.
     """
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = max(1, -(-2 * tasks // chunk_count))
     chunks = (
         entries.groupBy(F.pmod(F.xxhash64("entry"), F.lit(chunk_count)).alias("chunk"))
         .agg(F.collect_list("entry").alias("known"))
-        .withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(NAME_SPREAD - 1))))
+        .withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     )
     placed = names.select(
         "agency_name",
-        F.pmod(F.xxhash64("agency_name"), F.lit(NAME_SPREAD)).cast("int").alias("spread"),
+        F.pmod(F.xxhash64("agency_name"), F.lit(spread)).cast("int").alias("spread"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunk_count - 1).cast("long"))).alias("chunk"),
     )
     return (

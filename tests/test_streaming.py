@@ -10,7 +10,7 @@ from countlake.schemas import DAILY_METRICS
 from countlake.sources.daily_table import read_daily
 from countlake.sources.raw_csv import read_raw_readings
 from countlake.streaming.ingest import read_clean_readings, start_ingest
-from countlake.streaming.windows import latest_totals, start_daily_windows
+from countlake.streaming.windows import close_days, latest_totals, start_daily_windows
 
 HEADERS = [
     ["date_time", "agency_name", "counter_id", "visitor_count", "unit"],
@@ -154,5 +154,11 @@ def test_daily_windows_over_several_runs(spark, tmp_path):
     # Two hours late but within the watermark.
     assert arrive(2, 25) == {6: 6, 7: 51}
     assert arrive(24 * 5) == {6: 6, 7: 51, 11: 121}
+    # Closed days come from their own table, the others from the batches.
+    closed, before = str(tmp_path / "closed"), dt.date(2025, 1, 8)
+    close_days(spark, out, closed, before)
+    both = latest_totals(spark, out, closed, before)
+    assert {r.date.day: r.daily_visitor_count for r in both.collect()} == {6: 6, 7: 51, 11: 121}
+    assert spark.read.parquet(closed).count() == 2
     # Far behind the watermark: dropped.
     assert arrive(3) == {6: 6, 7: 51, 11: 121}
