@@ -14,6 +14,8 @@ sums within a part, and the sums of the parts are added on reading.
 
 from __future__ import annotations
 
+import json
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,33 +34,129 @@ from countlake.llm.common import pieces
 END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_ROWS = 2000
-#: Words remembered by a Python worker; beyond that it starts anew.
-REMEMBERED = 300_000
-REMEMBERED_BYTES = 64
+#: Words remembered by a Python worker from its last texts, and as many from those before.
+REMEMBERED = 250_000
+#: Words given to the tokenizer at a time.
+TOGETHER = 2000
+#: Marks that a letter word often ends in.
+_TAILS = frozenset(b"%c" % c for c in b".,;:!?")
 
 
-class WordCoder(dict):
-    """Ids of a word as little-endian bytes, remembered.
+def _plain(text: str) -> str:
+    """The text in lower case if it has no character that could join with others."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
+def _stay_letters(run: str) -> bool:
+    """Whether a run is of letters, and remains so when it is normalised and in lower case."""
+    return run.isalpha() and unicodedata.is_normalized("NFC", run) and run.lower().isalpha()
+
+
+class WordCoder:
+    """Ids of words as little-endian bytes, remembered in two generations.
 
     The vocabulary drops white space and no token, normalisation or split
-    reaches across it, so a text's ids are those of its words in a row.
+    reaches across it, so a text's ids are those of its words in a row. New
+    words go to the tokenizer together:
+
+    * words of letters, and those of ASCII letters and one mark, are encoded in
+      one text: the tokenizer makes one or two parts of them, and each part
+      ends in the only token of it that ends a word.
+    * other words are encoded with a special token between them, across which
+      nothing reaches either; those in which it could begin go alone.
+
+    Texts of Latin-1 characters go in as lower case, as they come out anyway.
     """
 
     def __init__(self, definition: bytes):
-        super().__init__()
         self.tokenizer = Tokenizer.from_buffer(definition)
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.mark = next((i for i, t in added.items() if t.special and not t.normalized), None)
+        self.between = added[self.mark].content if self.mark is not None else ""
+        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.tails = {c: self._ids(c.decode()).tobytes() for c in _TAILS}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(found, dtype="<u4")
+
+    def _alike(self, words: list[bytes], parts: int) -> None:
+        """Learns words that the tokenizer cuts into so many parts each."""
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            ids = self._ids(b" ".join(some).decode())
+            ends = (np.flatnonzero(self.ends[ids]) + 1)[parts - 1 :: parts]
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                self.young.update(
+                    zip(some, [raw[a:b] for a, b in zip([0, *ends], ends)])
+                )
+            else:  # the tokenizer knows other letters than Python
+                self._others(some)
+
+    def _others(self, words: list[bytes]) -> None:
+        start = self.between[:1].encode()
+        together = [w for w in words if start and start not in w]
+        for w in words:
+            if not start or start in w:
+                self.young[w] = self._ids(w.decode()).tobytes()
+        for at in range(0, len(together), TOGETHER):
+            part = together[at : at + TOGETHER]
+            ids = self._ids(self.between.join(w.decode() for w in part))
+            marks = np.flatnonzero(ids == self.mark)
+            raw = ids.tobytes()
+            for w, a, b in zip(part, [0, *(4 * marks + 4).tolist()], [*(4 * marks).tolist(), None]):
+                self.young[w] = raw[a:b]
 
-    def __missing__(self, word: bytes) -> bytes:
-        found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        ids = np.array(found, dtype="<u4").tobytes()
-        if len(word) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = ids
-        return ids
+    def _learn(self, words: list[bytes]) -> None:
+        if not self.ends.any():
+            return self._others(words)
+        letters, rest = [], []
+        for w in words:
+            (letters if w.isalpha() else rest).append(w)
+        marked, others = [], []
+        for w in rest:
+            if w[-1:] in _TAILS and w[:-1].isalpha():
+                marked.append(w)
+            elif not w.isascii() and _stay_letters(w.decode()):
+                letters.append(w)
+            else:
+                others.append(w)
+        self._alike(letters, 1)
+        new = []
+        for w in marked:
+            ids = self.young.get(w[:-1]) or self.old.get(w[:-1])
+            if ids:
+                self.young[w] = ids + self.tails[w[-1:]]
+            else:
+                new.append(w)
+        self._alike(new, 2)
+        self._others(others)
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode().split()))
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts; null counts as empty."""
+        words = [_plain(t or "").encode().split() for t in texts]
+        new = []
+        for w in set().union(*words).difference(self.young):
+            ids = self.old.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                self.young[w] = ids
+        self._learn(new)
+        found = [b"".join(map(self.young.__getitem__, w)) for w in words]
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -94,7 +192,7 @@ def write(
         coder = _coder(definition.value)
         part, at = TaskContext.get().partitionId(), 0
         for batch in pieces(batches, "text"):
-            ids = [coder.encode(t or "") + end for t in batch.column("text").to_pylist()]
+            ids = [i + end for i in coder.encode(batch.column("text").to_pylist())]
             ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype="int64")
             values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
             yield pa.record_batch(
@@ -137,12 +235,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = spark.read.parquet(path)
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (  # one row per file
+    parts = (  # one row per part, as many as the writer was told: at most some thousands
         rows.groupBy("part")
         .agg(F.sum("n_tokens").alias("total"))
         .select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
     )
-    return rows.join(parts, "part").select(
+    return rows.join(F.broadcast(parts), "part").select(
         "key", "n_tokens", (F.col("offset") + F.col("start_in_part")).alias("start"), "ids"
     )
 
