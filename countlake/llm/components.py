@@ -2,12 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countlake.session import write_through
 
 
+#: Pairs that a task joins up at a time.
+TOGETHER = 250_000
+
+
+def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of a part as stars: every node with the smallest that it reaches within them."""
+
+    def stars(head: dict[int, int]) -> pa.RecordBatch:
+        nodes = [x for x in head if root(x) != x]
+        return pa.record_batch(
+            [pa.array(nodes, pa.int64()), pa.array([head[x] for x in nodes], pa.int64())],
+            names=["a", "b"],
+        )
+
+    def root(x: int) -> int:
+        top = x
+        while (up := head.get(top, top)) != top:
+            top = up
+        while head.get(x, x) != top:
+            head[x], x = top, head.get(x, x)
+        return top
+
+    head: dict[int, int] = {}
+    pairs = 0
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            a, b = root(a), root(b)
+            if a != b:
+                head[max(a, b)] = min(a, b)
+        pairs += batch.num_rows
+        if pairs >= TOGETHER:
+            yield stars(head)
+            head, pairs = {}, 0
+    yield stars(head)
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Links neighbours of each node to the smallest of them (itself included).
 
@@ -27,15 +66,17 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = met.select(F.col("v").alias("a"), F.col("m").alias("b")).union(
             least.select(F.col("u").alias("a"), F.col("m").alias("b"))
         )
-    return out.where("a <> b").distinct()
+    return out.where("a <> b")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): every node of ``edges`` (a, b) with the smallest node it reaches.
 
-    Each round is written to the shared folder, so no lineage grows. It ends
-    when a round changes nothing, which takes about the logarithm of the
-    longest path. An empty graph gives no rows.
+    In a round each task joins up what it holds of the graph, and the stars of
+    all tasks are linked by their smallest nodes. It is written to the shared
+    folder, so no lineage grows. The rounds end when one changes nothing,
+    which takes about the logarithm of the longest path. An empty graph gives
+    no rows.
     """
     edges = write_through(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -50,7 +91,9 @@ def components(edges: DataFrame) -> DataFrame:
         if marks == state or marks[0] == 0:
             break
         state = marks
-        edges = write_through(_star(_star(edges, True), False), "components")
+        joined = edges.mapInArrow(_join_up, "a long, b long")
+        linked = _star(_star(joined, True), False)
+        edges = write_through(linked.distinct(), "components")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -38,7 +38,7 @@ from countlake.session import write_through
 
 SHINGLE_WORDS = 5
 SIMILARITY = 75  # in hundredths
-TREES, DEPTH = 16, 8
+TREES, DEPTH = 24, 8
 LEAST_DEPTH = 3
 #: Rows after a row that are looked at in a tree's order, while they share its prefix.
 NEIGHBOURS = 128
@@ -354,8 +354,9 @@ def _ask(members: DataFrame, asking: DataFrame) -> DataFrame:
 def _elements(docs: DataFrame, members: DataFrame, text: str, key: str) -> DataFrame:
     """Members with their sets, taken from the texts again: adds elements.
 
-    ``members`` has key, s1, s2 and more. The texts are shuffled by key; a row
-    that has a member's key but another set is left out.
+    ``members`` has key, s1, s2 and more. The texts are shuffled by key, at any
+    size, since members grow with the corpus; a row that has a member's key but
+    another set is left out.
     """
     extra = [c for c in members.columns if c not in ("key", "s1", "s2")]
     kinds = ", ".join(f"{c} {members.schema[c].dataType.simpleString()}" for c in extra)
@@ -374,7 +375,8 @@ def _elements(docs: DataFrame, members: DataFrame, text: str, key: str) -> DataF
 
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("text"))
     return (
-        rows.join(members, F.col("__key").eqNullSafe(F.col("key")))
+        rows.hint("shuffle_merge")
+        .join(members, F.col("__key").eqNullSafe(F.col("key")))
         .select("text", "s1", "s2", *extra)
         .mapInArrow(run, f"{kinds}, elements binary")
         .dropDuplicates(["node"])
