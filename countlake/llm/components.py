@@ -1,4 +1,4 @@
-"""Connected components of a graph of pairs, by alternating stars."""
+"""Connected components of a graph of pairs, by stars that are joined up and linked."""
 
 from __future__ import annotations
 
@@ -47,42 +47,32 @@ def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars(head)
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Links neighbours of each node to the smallest of them (itself included).
+def _link(stars: DataFrame) -> DataFrame:
+    """Links the heads that a node has in several stars to the smallest of them.
 
-    The large star moves the greater neighbours, the small star the smaller
-    ones and the node itself. Minima are summed up per task first; a node with
-    very many neighbours meets a single row in a join that is split if hot.
+    Minima are summed up per task first; a node in very many stars meets a
+    single row in a join that is split if hot.
     """
-    if large:
-        both = edges.union(edges.select("b", "a")).toDF("u", "v")
-    else:
-        both = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"))
-    met = both.join(least, "u")
-    if large:
-        out = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        out = met.select(F.col("v").alias("a"), F.col("m").alias("b")).union(
-            least.select(F.col("u").alias("a"), F.col("m").alias("b"))
-        )
-    return out.where("a <> b")
+    least = stars.groupBy("a").agg(F.min("b").alias("least"))
+    heads = stars.join(least, "a").where("b <> least")
+    return heads.select(F.col("b").alias("a"), F.col("least").alias("b")).union(
+        least.select("a", F.col("least").alias("b"))
+    )
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): every node of ``edges`` (a, b) with the smallest node it reaches.
 
-    In a round each task joins up what it holds of the graph, and the stars of
-    all tasks are linked by their smallest nodes. It is written to the shared
-    folder, so no lineage grows. The rounds end when one changes nothing,
-    which takes about the logarithm of the longest path. An empty graph gives
-    no rows.
+    In a round each task joins up what it holds of the graph to stars, and the
+    stars that share a node are linked by their heads. It is written to the
+    shared folder, so no lineage grows. The rounds end when one changes
+    nothing: then every node is in one star, that of its component. That takes
+    about the logarithm of the longest path. An empty graph gives no rows.
     """
-    edges = write_through(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
-        "components",
+    edges = edges.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
+    edges = write_through(edges.distinct(), "components")
     state = None
     while True:
         marks = edges.agg(
@@ -91,9 +81,7 @@ def components(edges: DataFrame) -> DataFrame:
         if marks == state or marks[0] == 0:
             break
         state = marks
-        joined = edges.mapInArrow(_join_up, "a long, b long")
-        linked = _star(_star(joined, True), False)
-        edges = write_through(linked.distinct(), "components")
+        edges = write_through(_link(edges.mapInArrow(_join_up, "a long, b long")), "components")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

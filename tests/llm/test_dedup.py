@@ -213,7 +213,8 @@ def test_null_and_repeated_keys(documents, prose):
     )
 
 
-def test_components_of_long_paths_and_stars(spark):
+def test_components_of_long_paths_and_stars(spark, monkeypatch):
+    monkeypatch.setattr("countlake.llm.components.TOGETHER", 20)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(7, 1000 + i) for i in range(50)] + [(3, 3)]
     got = components(spark.createDataFrame(pairs, "a long, b long")).collect()
     found = {r.node: r.component for r in got}
