@@ -14,7 +14,7 @@ from countlake.operators.cleaning import (
 )
 from countlake.operators.merge import append_counts, recompute_into
 from countlake.schemas import RAW_COLUMNS
-from countlake.session import build_session, write_through
+from countlake.session import build_session, scratch, write_through
 from countlake.sources.agencies import read_agencies
 from countlake.sources.raw_csv import map_by_header, read_lines, typed_readings
 
@@ -41,16 +41,17 @@ def run_transform(
     """
     if on_conflict not in ("keep", "recompute"):
         raise ValueError(f"on_conflict must be 'keep' or 'recompute', not {on_conflict!r}")
-    lines = map_by_header(read_lines(spark, raw_path))
-    if rejects_path:
-        lines = write_through(judge_lines(lines, keep_bad_dates), "judged")
-        rejected = lines.filter("reason is not null").select(*REJECT_COLUMNS)
-        rejected.write.mode("overwrite").parquet(rejects_path)
-    readings = typed_readings(lines.filter("has_header"))
-    valid = standardise_names(keep_valid(readings, keep_bad_dates))
-    counts = corrected_counts(valid, dictionary, max_distance)
-    merge = append_counts if on_conflict == "keep" else recompute_into
-    merge(spark, daily_path, counts)
+    with scratch(spark):
+        lines = map_by_header(read_lines(spark, raw_path))
+        if rejects_path:
+            lines = write_through(judge_lines(lines, keep_bad_dates), "judged")
+            rejected = lines.filter("reason is not null").select(*REJECT_COLUMNS)
+            rejected.write.mode("overwrite").parquet(rejects_path)
+        readings = typed_readings(lines.filter("has_header"))
+        valid = standardise_names(keep_valid(readings, keep_bad_dates))
+        counts = corrected_counts(valid, dictionary, max_distance)
+        merge = append_counts if on_conflict == "keep" else recompute_into
+        merge(spark, daily_path, counts)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scratch = threading.local()
 
 
 def build_session(
@@ -71,4 +75,20 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, label)
     df.write.parquet(path)
+    if getattr(_scratch, "paths", None) is not None:
+        _scratch.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes what :func:`write_through` wrote within, for jobs that end with a write."""
+    outer, _scratch.paths = getattr(_scratch, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _scratch.paths = _scratch.paths, outer
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)

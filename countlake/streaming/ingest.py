@@ -16,7 +16,7 @@ from countlake.operators.cleaning import (
 )
 from countlake.operators.merge import append_counts, recompute_into
 from countlake.plans.transform import REJECT_COLUMNS
-from countlake.session import build_session, write_through
+from countlake.session import build_session, scratch, write_through
 from countlake.sources.agencies import read_agencies
 from countlake.sources.raw_csv import map_by_header, typed_readings, with_file_origin
 
@@ -66,6 +66,10 @@ def start_ingest(
     lines = with_file_origin(spark.readStream.text(raw_path))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):
+            ingest(batch, batch_id)
+
+    def ingest(batch: DataFrame, batch_id: int) -> None:
         mapped = map_by_header(batch)
         if rejects_path:
             mapped = write_through(judge_lines(mapped), "judged")

@@ -208,3 +208,13 @@ def test_date_range_prunes_partitions_and_is_pushed_down(spark, stored):
     pushed = plan.split("PushedFilters: [")[1].split("]")[0]
     assert "EqualTo(agency_name,A)" in pushed and "EqualTo(counter_id,1)" in pushed
     assert "unit" not in plan.split("ReadSchema: ")[1]
+
+
+@pytest.mark.parametrize("counter_id", [None, 1])
+def test_year_and_month_sets_prune_folders(spark, stored, counter_id):
+    view = serving.traffic_view(
+        read_daily(spark, stored), ["A"], [2022, 2024], counter_id=counter_id, months=["March", "May"]
+    )
+    filters = plan_of(view).split("PartitionFilters: [")[1].split("]")[0]
+    assert "year" in filters and "IN (2022,2024)" in filters
+    assert "month" in filters and "IN (3,5)" in filters

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,15 @@ def test_lines_left_out_are_written(spark, tmp_path, known):
     assert table(read_daily(spark, folder["daily"])) == table(read_daily(spark, folder["batch"]))
 
 
+def test_nothing_is_left_in_the_shared_folder(spark, tmp_path, known):
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.glob("*/*/*"))
+    land(tmp_path / "raw", "a.csv", HEADERS[0], range(3))
+    ingest(spark, tmp_path, known, "keep")
+    run_transform(spark, str(tmp_path / "raw"), known, str(tmp_path / "daily"), rejects_path=f"{tmp_path}/r")
+    assert set(root.glob("*/*/*")) == before
+
+
 def test_keep_freezes_days_and_recompute_completes_them(spark, tmp_path, known):
     results = {}
     for policy in ("keep", "recompute"):
