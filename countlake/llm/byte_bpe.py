@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from countlake.llm.common import pieces
 
-#: Parts remembered by a Python worker; beyond that it starts anew.
-REMEMBERED = 300_000
+#: Parts remembered by a Python worker from its last texts, and as many from those before.
+REMEMBERED = 250_000
 #: Longer parts are encoded each time.
 REMEMBERED_CHARS = 48
 
@@ -52,6 +53,7 @@ class ByteCoder(dict):
         self.joined: dict[tuple[int, int], int] = {}
         self.shorter: dict[int, int] = {}
         self.known_pairs: dict[tuple[int, int], bool] = {}
+        self.old: dict[str, bytes] = {}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
         for token, rank in self.ranks.items():
             if len(token) > 1:
@@ -144,9 +146,12 @@ class ByteCoder(dict):
         return out
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.encode_part(part.encode()), dtype="<u4").tobytes()
+        ids = self.old.get(part)
+        if ids is None:
+            ids = array("I", self.encode_part(part.encode())).tobytes()
         if len(part) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[part] = ids
         return ids
