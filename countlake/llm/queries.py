@@ -109,6 +109,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda w: w <> '') AS words
+            FROM documents),
+        windows AS (
+            SELECT r, s, md5(array_to_string(words[s:s + 34], ' ')) AS h
+            FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS s FROM d WHERE len(words) > 34)),
+        twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+        starts AS (SELECT r, s FROM windows WHERE h IN (FROM twice)),
+        places AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM d),
+        judged AS (
+            SELECT places.r, p, word,
+                   coalesce(max(s) OVER (PARTITION BY places.r ORDER BY p
+                                         ROWS UNBOUNDED PRECEDING) > p - 35, false) AS gone
+            FROM places LEFT JOIN starts ON places.r = starts.r AND p = s)
+        SELECT doc_id, len(any_value(words)) AS n_words,
+               count(*) FILTER (gone) AS n_removed,
+               sha256(coalesce(string_agg(word, ' ' ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+        FROM d LEFT JOIN judged ON d.r = judged.r
+        GROUP BY d.r, doc_id
+    """,
     "op2_warc_archive": """
         WITH t AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
@@ -123,6 +146,34 @@ ORACLE_SQL: dict[str, str] = {
                     THEN newest END AS refers_to
         FROM u
     """,
+    "op4_near_dedup": r"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT r, md5(array_to_string(words[s:s + 4], ' ')) AS h
+            FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 3, 2))) AS s
+                  FROM d WHERE len(words) > 0)),
+        sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+        met AS (
+            SELECT a.r AS a, b.r AS b, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.h = b.h AND a.r <> b.r GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM met JOIN sizes x ON a = x.r JOIN sizes y ON b = y.r
+            WHERE 100 * met.n >= 75 * (x.n + y.n - met.n)),
+        reached AS (
+            SELECT r, r AS t FROM d
+            UNION
+            SELECT reached.r, b FROM reached JOIN links ON a = t),
+        named AS (
+            SELECT reached.r, min(doc_id) AS component_id
+            FROM reached JOIN d ON d.r = t GROUP BY reached.r)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM d JOIN named ON d.r = named.r LEFT JOIN sizes ON d.r = sizes.r
+    """,
     "op3_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
