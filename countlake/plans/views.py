@@ -64,7 +64,7 @@ select c_name as agency_name from {customer}""",
 select case c_custkey % 4 when 0 then replace(lower(c_name), '#', '') when 1 then substr(lower(c_name), 2)
             when 2 then replace(lower(c_name), 'customer#0', 'kustomar 1')
             else concat('the_', lower(c_name), '_' , cast(c_custkey as varchar(10))) end as agency_name
-from {customer} where c_custkey % 7 = 0""",
+from {customer}""",
     "v_branches": """
 select cast(s_suppkey as int) as id, s_name as name, concat('Street ', cast(s_suppkey as varchar(10))) as address,
        n_name as city, cast(10000 + s_suppkey as varchar(10)) as postal_code,

@@ -1,6 +1,7 @@
 import random
 
 from countlake.operators import matching
+from countlake.plans.catalog import closest_match_large
 
 
 def names_df(spark, names):
@@ -69,6 +70,24 @@ def test_large_dictionary_path_with_max_distance(spark):
         assert matched(found) == {n: best(n, entries, limit) for n in names}
 
 
+def test_large_query_covers_every_customer(spark, tmp_path):
+    keys = range(1, 121)
+    customers = [(k, f"Customer#{k:09d}") for k in keys]
+    spark.createDataFrame(customers, "c_custkey long, c_name string").write.parquet(
+        str(tmp_path / "customer.parquet")
+    )
+    entries = [name.lower() for _, name in customers]
+    changes = [
+        lambda k, n: n.replace("#", ""),
+        lambda k, n: n[1:],
+        lambda k, n: n.replace("customer#0", "kustomar 1"),
+        lambda k, n: f"the_{n}_{k}",
+    ]
+    names = {changes[k % 4](k, n) for k, n in zip(keys, entries)}
+    got = matched(closest_match_large(spark, str(tmp_path)))
+    assert got == {n: best(n, entries) for n in names}
+
+
 def test_corrected_names_come_last_and_known_ones_stay(spark):
     readings = spark.createDataFrame(
         [("main_branch", 1), ("mian_branch", 2), ("lyon_1", 3)], "agency_name string, n int"
