@@ -430,15 +430,12 @@ def _links(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
     return near.union(first).union(_ask(large, asking))
 
 
-def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: key, n_shingles, component_id, kept.
+def _judge(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """A row per row of ``docs``: key, n_shingles, s1, s2, component_id, first.
 
-    ``component_id`` is the smallest key reachable over links, the row's own
-    included; ``kept`` is whether it is the row's key. Null, empty and blank
-    texts have no shingles and are linked with nothing. Equal texts are linked.
-    Rows with one key but different texts are judged each by its text; null
-    keys are never a component's id unless all of its keys are null. Other
-    columns are not looked at. An empty table gives an empty result.
+    ``first`` tells the rows with the key and the set that stand for their
+    component: the smallest key, null last, then the smallest set name. Rows
+    without shingles stand for themselves.
     """
     rows = write_through(_sign(docs, text, key), "near-signatures")
     nodes = write_through(
@@ -454,26 +451,115 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id")
     found = components(write_through(_links(docs, nodes, text, key), "near-links"))
     keys = nodes.select("node", "s1", "s2", "key").join(found, "node", "left")
     keys = keys.withColumn("component", F.coalesce("component", "node"))
-    smallest = keys.groupBy("component").agg(F.min("key").alias("component_id"))
-    named = keys.join(smallest, "component").select("s1", "s2", "component_id")
+    least = F.min(F.struct(F.col("key").isNull().alias("unknown"), "key", "s1", "s2"))
+    smallest = keys.groupBy("component").agg(least.alias("best"))
+    named = keys.join(smallest, "component").select("s1", "s2", "best")
+    filled = F.col("n_shingles") > 0
     return (
         rows.select("key", "n_shingles", "s1", "s2")
         .join(named, ["s1", "s2"], "left")
-        .withColumn(
-            "component_id",
-            F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key")),
-        )
         .select(
-            F.col("key").alias(key),
+            "key",
             "n_shingles",
-            "component_id",
-            F.col("key").eqNullSafe(F.col("component_id")).alias("kept"),
+            "s1",
+            "s2",
+            F.when(filled, F.col("best.key")).otherwise(F.col("key")).alias("component_id"),
+            F.when(
+                filled,
+                F.col("key").eqNullSafe(F.col("best.key"))
+                & (F.col("s1") == F.col("best.s1"))
+                & (F.col("s2") == F.col("best.s2")),
+            )
+            .otherwise(True)
+            .alias("first"),
         )
     )
 
 
+def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row per row of ``docs``: key, n_shingles, component_id, kept.
+
+    ``component_id`` is the smallest key reachable over links, the row's own
+    included; ``kept`` is whether it is the row's key. Null, empty and blank
+    texts have no shingles and are linked with nothing. Equal texts are linked.
+    Rows with one key but different texts are judged each by its text; null
+    keys are never a component's id unless all of its keys are null. Other
+    columns are not looked at. An empty table gives an empty result.
+    """
+    return _judge(docs, text, key).select(
+        F.col("key").alias(key),
+        "n_shingles",
+        "component_id",
+        F.col("key").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
+def _named(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """__row (all columns), key, n_shingles, s1, s2 of every row."""
+    body = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(body.alias("__row"), F.col(key).alias("key"), F.col(text).alias("text"))
+    schema = rows.drop("text").schema.add("n_shingles", "long").add("s1", "long").add("s2", "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, words in slices(batches, "text"):
+            hashes, first = shingle_sets(words)
+            names = [pa.array(s) for s in _set_names(hashes, first)]
+            yield pa.record_batch(
+                [
+                    batch.column("__row"),
+                    batch.column("key"),
+                    pa.array(np.diff(first), pa.int64()),
+                    *names,
+                ],
+                names=["__row", "key", "n_shingles", "s1", "s2"],
+            )
+
+    return rows.mapInArrow(run, schema)
+
+
 def keep_first(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay, one key per group of near duplicates, with all columns."""
-    judged = write_through(near_duplicates(docs, text=text, key=key), "near-result")
-    gone = judged.where("not kept").select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of ``docs`` that stay, with all columns: one row per group of near duplicates.
+
+    Rows are judged each by its key and its set of shingles. Of a group the row
+    with the smallest key stays, null keys last; of several such rows the one
+    with the smallest set name, and of copies of that one any. Rows without
+    shingles all stay. Keys whose rows share one fate are dropped by key; only
+    rows of the others are read again and told apart by their sets.
+    """
+    judged = write_through(_judge(docs, text, key), "near-result")
+    filled = F.col("n_shingles") > 0
+    stays = F.count_if("first")
+    marks = write_through(
+        judged.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            stays.alias("stay"),
+            F.count_if(F.col("first") & filled).alias("groups"),
+        )
+        .where("stay < n or groups > 1")
+        .select(F.col("key").alias("__key"), (F.col("stay") > 0).alias("__mixed")),
+        "near-marks",
+    )
+    same_key = F.col(key).eqNullSafe(F.col("__key"))
+    plain = docs.join(marks, same_key, "left_anti")
+    mixed = marks.where("__mixed")
+    if not mixed.limit(1).count():
+        return plain
+    rows = _named(docs.join(mixed, same_key, "left_semi"), text, key)
+    best = judged.where(F.col("first") & filled).select(
+        F.col("key").alias("__key"), F.col("s1").alias("__s1"), F.col("s2").alias("__s2")
+    )
+    one_each = (
+        rows.where(filled)
+        .join(
+            best,
+            F.col("key").eqNullSafe(F.col("__key"))
+            & (F.col("s1") == F.col("__s1"))
+            & (F.col("s2") == F.col("__s2")),
+            "left_semi",
+        )
+        .groupBy("key", "s1", "s2")
+        .agg(F.min_by("__row", F.xxhash64(F.col("__row")[text])).alias("__row"))
+    )
+    told = rows.where(~filled).select("__row").unionByName(one_each.select("__row"))
+    return plain.unionByName(told.select("__row.*"))

@@ -213,6 +213,25 @@ def test_null_and_repeated_keys(documents, prose):
     )
 
 
+def test_one_row_of_a_group_stays_whatever_the_keys(documents, prose):
+    text, other, third = prose(42, 60), prose(43, 60), prose(44, 60)
+    near, near_third = edited(text, [30], "e"), edited(third, [30], "e")
+    rows = [
+        (None, text), (7, text), (7, text), (7, near), (None, "alone here"), (None, None), (None, ""),
+        (9, near), (9, other), (12, other), (5, third), (5, near_third), (None, "alone here"), (20, "far off"),
+    ]
+    frame = documents([t for _, t in rows], ids=[i for i, _ in rows])
+    kept = near_dedup.keep_first(frame)
+    assert kept.columns == frame.columns
+    assert kept.exceptAll(frame).count() == 0
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    left = sorted(got, key=str)
+    assert [i for i, t in left if t in (text, near)] == [7]
+    assert [i for i, t in left if t in (third, near_third)] == [5]
+    rest = [(i, t) for i, t in left if t not in (text, near, third, near_third)]
+    assert rest == sorted([(9, other), (20, "far off"), (None, "alone here"), (None, None), (None, "")], key=str)
+
+
 def test_components_of_long_paths_and_stars(spark, monkeypatch):
     monkeypatch.setattr("countlake.llm.components.TOGETHER", 20)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(7, 1000 + i) for i in range(50)] + [(3, 3)]
