@@ -5,10 +5,13 @@
 2. Forest. Each tree sorts all nodes by its own part of the signatures; the
    sort is a range shuffle, so a dense region is spread over tasks like any
    other. Neighbours in the order that share at least ``least_depth`` leading
-   values are candidates: in a thin region that is everybody in it, in a dense
-   one the neighbours with the longest common prefixes. Candidates whose short
-   signatures agree well enough are joined to families; each task reports only
-   a spanning forest of what it finds, at most one pair per row.
+   values are candidates. In a thin region the scan of the order meets everybody
+   in it. Of a dense one it meets the neighbours with the longest common
+   prefixes; then the region's rows outside its largest family so far meet all
+   of its rows, block by block, and so do those of regions that were cut by the
+   edge of a task. Candidates whose short signatures agree well enough are
+   joined to families; each task reports only a spanning forest of what it
+   finds, at most one pair per row.
 3. Families are components of these pairs; links exist only within them. A
    family of bounded size is compared in one place. Of a larger one, a few hubs
    are compared with all members first; then the members outside the largest
@@ -24,7 +27,7 @@ the sets of family members.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,10 @@ SIMILARITY = 75  # in hundredths
 TREES, DEPTH = 24, 8
 LEAST_DEPTH = 3
 #: Rows after a row that are looked at in a tree's order, while they share its prefix.
+#: Regions with more rows are compared in blocks afterwards.
 NEIGHBOURS = 128
+#: Rows of such a region that are compared in one place.
+REGION_ROWS = 8192
 #: Agreement of short signatures (64 values of 4 bits) that makes candidates, of 64.
 AGREE = 34
 #: Members and shingles of a family that are compared in one place.
@@ -181,44 +187,167 @@ def _union(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
     return useful
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning pairs of the candidates in sorted rows; rows are held a window at a time."""
-    kept: tuple[np.ndarray, ...] | None = None
-    for batch in batches:
-        for start in range(0, batch.num_rows, 8192):
-            part = batch.slice(start, 8192)
-            raw = np.frombuffer(b"".join(part.column("order").to_pylist()), dtype=">u2")
-            lead = raw.reshape(-1, DEPTH)[:, :LEAST_DEPTH].astype("uint64")
-            trees = part.column("tree").to_numpy().astype("uint64")
-            prefix = trees << np.uint64(48)
-            for i in range(LEAST_DEPTH):
-                prefix = prefix | lead[:, i] << np.uint64(16 * i)
-            short = np.frombuffer(b"".join(part.column("short").to_pylist()), dtype="uint8")
-            now = prefix, part.column("node").to_numpy(), short.reshape(part.num_rows, -1)
-            if kept is not None:
-                now = tuple(np.concatenate([k, n]) for k, n in zip(kept, now))
-            prefix, node, short = now
-            label = np.arange(len(node))
-            alive = np.arange(len(node))
-            pairs: list[tuple[np.ndarray, np.ndarray]] = []
-            for step in range(1, NEIGHBOURS + 1):
-                alive = alive[alive < len(node) - step]
-                alive = alive[prefix[alive] == prefix[alive + step]]
-                if not len(alive):
-                    break
-                apart = alive[label[alive] != label[alive + step]]
-                agree = _HALVES[short[apart] ^ short[apart + step]].sum(1)
-                near = apart[agree >= AGREE]
-                useful = near[_union(label, near, near + step)] if len(near) else near
-                pairs.append((node[useful], node[useful + step]))
-            kept = tuple(x[-NEIGHBOURS:] for x in now)
-            yield pa.record_batch(
-                [
-                    pa.array(np.concatenate([p[i] for p in pairs] or [node[:0]]), pa.int64())
-                    for i in (0, 1)
-                ],
-                names=["a", "b"],
+def _regions(tree: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """Number of each row's region: its tree and the first values of its order."""
+    region = tree.astype("int64") << 48
+    for i in range(LEAST_DEPTH):
+        region = region | lead[:, i].astype("int64") << 16 * i
+    return region
+
+
+def _neighbours(reach: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Spanning pairs (a, b) of the candidates in sorted rows, and marks of regions.
+
+    Rows are held a window at a time. A region is marked with 2 if some of its
+    rows are further apart than ``reach``, and with 1 by each task whose rows
+    begin or end with it.
+    """
+
+    def found(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return _marked(a, b, [None] * len(a), [None] * len(a))
+
+    def marks(regions: list[int], mark: int) -> pa.RecordBatch:
+        return _marked([None] * len(regions), [None] * len(regions), regions, [mark] * len(regions))
+
+    def _marked(*columns) -> pa.RecordBatch:
+        return pa.record_batch(
+            [pa.array(c, pa.int64()) for c in columns], names=["a", "b", "region", "mark"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: tuple[np.ndarray, ...] | None = None
+        begin = end = last = None
+        for batch in batches:
+            for start in range(0, batch.num_rows, 8192):
+                part = batch.slice(start, 8192)
+                raw = np.frombuffer(b"".join(part.column("order").to_pylist()), dtype=">u2")
+                lead = raw.reshape(-1, DEPTH)[:, :LEAST_DEPTH]
+                region = _regions(part.column("tree").to_numpy(), lead)
+                begin = int(region[0]) if begin is None else begin
+                end = int(region[-1])
+                short = np.frombuffer(b"".join(part.column("short").to_pylist()), dtype="uint8")
+                now = region, part.column("node").to_numpy(), short.reshape(part.num_rows, -1)
+                if kept is not None:
+                    now = tuple(np.concatenate([k, n]) for k, n in zip(kept, now))
+                region, node, short = now
+                label = np.arange(len(node))
+                alive = np.arange(len(node))
+                for step in range(1, reach + 1):
+                    alive = alive[alive < len(node) - step]
+                    alive = alive[region[alive] == region[alive + step]]
+                    if not len(alive):
+                        break
+                    apart = alive[label[alive] != label[alive + step]]
+                    agree = _HALVES[short[apart] ^ short[apart + step]].sum(1)
+                    near = apart[agree >= AGREE]
+                    useful = near[_union(label, near, near + step)] if len(near) else near
+                    yield found(node[useful], node[useful + step])
+                far = region[: -reach - 1][region[: -reach - 1] == region[reach + 1 :]]
+                dense = [r for r in np.unique(far).tolist() if r != last]
+                if dense:
+                    last = int(far[-1])
+                    yield marks(dense, 2)
+                kept = tuple(x[-reach - 1 :] for x in now)
+        yield marks(sorted({begin, end} - {None}), 1)
+
+    return run
+
+
+def _agreeing(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Spanning pairs between a block of a region's rows and a block of asking ones."""
+    a: list[int] = []
+    b: list[int] = []
+    if left.num_rows and right.num_rows:
+        node, asking = left.column("node").to_numpy(), right.column("node").to_numpy()
+        held, asked = (
+            np.frombuffer(b"".join(t.column("short").to_pylist()), dtype="uint64").reshape(
+                t.num_rows, -1
             )
+            for t in (left, right)
+        )
+        held = np.ascontiguousarray(held.T)
+        families = np.concatenate([t.column("family").to_numpy() for t in (left, right)])
+        every, place = np.unique(families, return_inverse=True)
+        label = np.arange(len(every))
+        own, asks = place[: len(node)], place[len(node) :]
+        ones = np.uint64(0x1111111111111111)
+        for i in range(len(asking)):
+            differ = np.zeros(len(node), dtype="uint8")
+            for column, value in zip(held, asked[i]):
+                x = column ^ value
+                x |= x >> np.uint64(1)
+                x |= x >> np.uint64(2)
+                x &= ones
+                differ += np.bitwise_count(x)
+            near = np.flatnonzero(differ <= 64 - AGREE)
+            near = near[label[own[near]] != label[asks[i]]]
+            useful = _union(label, np.full(len(near), asks[i]), own[near]) if len(near) else []
+            a += [int(asking[i])] * len(useful)
+            b += node[near[useful]].tolist() if len(useful) else []
+    return _edges(a, b)
+
+
+def _loose_pairs(planted: DataFrame, loose: DataFrame, families: DataFrame) -> DataFrame | None:
+    """Pairs (a, b) that connect the candidates of whole regions; None if all are connected.
+
+    Every two rows of a region are compared, unless both are in its largest
+    family: the rows outside it meet all rows, in blocks.
+    """
+    kind = "region long, node long, short binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                raw = np.frombuffer(b"".join(batch.column("order").to_pylist()), dtype=">u2")
+                lead = raw.reshape(-1, DEPTH)[:, :LEAST_DEPTH]
+                region = _regions(batch.column("tree").to_numpy(), lead)
+                yield pa.record_batch(
+                    [pa.array(region), batch.column("node"), batch.column("short")],
+                    names=["region", "node", "short"],
+                )
+
+    dense = planted.mapInArrow(run, kind).join(loose, "region", "left_semi")
+    rows = write_through(
+        dense.join(families, "node", "left").select(
+            "region", "node", "short", F.coalesce("family", "node").alias("family")
+        ),
+        "near-regions",
+    )
+    counted = rows.groupBy("region", "family").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", "family"))
+    sizes = write_through(
+        counted.groupBy("region")
+        .agg(F.sum("n").alias("n"), largest.alias("top"))
+        .where("n > top.n")
+        .select(
+            "region",
+            F.col("top.family").alias("top"),
+            F.ceil(F.col("n") / REGION_ROWS).alias("blocks"),
+            F.ceil((F.col("n") - F.col("top.n")) / REGION_ROWS).alias("asks"),
+        ),
+        "near-region-sizes",
+    )
+    if not sizes.limit(1).count():
+        return None
+    rows = rows.join(sizes, "region")
+
+    def every(n: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    def part_of(n: str) -> F.Column:
+        return F.pmod(F.xxhash64("node"), F.col(n))
+
+    held = rows.withColumn("block", part_of("blocks")).withColumn("ask", every("asks"))
+    asked = rows.where("family <> top")
+    asked = asked.withColumn("ask", part_of("asks")).withColumn("block", every("blocks"))
+    places = ["region", "block", "ask"]
+    taken = [*places, "node", "short", "family"]
+    return (
+        held.select(*taken)
+        .groupBy(*places)
+        .cogroup(asked.select(*taken).toDF(*taken).groupBy(*places))
+        .applyInArrow(_agreeing, "a long, b long")
+    )
 
 
 def candidate_pairs(nodes: DataFrame) -> DataFrame:
@@ -229,12 +358,23 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
     planted = nodes.select("node", "signature").mapInArrow(
         _plant, "tree int, order binary, node long, short binary"
     )
-    return (
+    scanned = write_through(
         planted.repartitionByRange("tree", "order", "node")
         .sortWithinPartitions("tree", "order", "node")
-        .mapInArrow(_neighbours, "a long, b long")
-        .distinct()
+        .mapInArrow(_neighbours(NEIGHBOURS), "a long, b long, region long, mark long")
+        .groupBy("a", "b", "region")
+        .agg(F.sum("mark").alias("mark")),
+        "near-forest",
     )
+    pairs = scanned.where("a is not null").select("a", "b")
+    loose = write_through(scanned.where("mark > 1").select("region"), "near-loose")
+    if not loose.limit(1).count():
+        return pairs
+    families = components(pairs).select("node", F.col("component").alias("family"))
+    more = _loose_pairs(planted, loose, families)
+    if more is None:
+        return pairs
+    return families.select(F.col("node").alias("a"), F.col("family").alias("b")).union(more)
 
 
 class _Sets:

@@ -200,6 +200,39 @@ def test_near_groups_equal_brute_force(documents, prose, odd_texts, monkeypatch,
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.kept}
 
 
+def test_links_in_dense_regions_are_found(documents, prose, monkeypatch):
+    # Texts share half of their shingles, so regions have more rows than the
+    # scan of the order looks at; linked ones lie apart in it.
+    monkeypatch.setattr(near_dedup, "NEIGHBOURS", 1)
+    monkeypatch.setattr(near_dedup, "REGION_ROWS", 40)
+    shared = prose(70, 100)
+    texts = [f"{prose(200 + i, 100, 4000)} {shared}" for i in range(150)]
+    texts += [edited(t, [20, 50, 80, 120, 160], "e") for t in texts[:60]]
+    ids = list(range(len(texts)))
+    got = near_dedup.near_duplicates(documents(texts, ids=ids)).collect()
+    expected = brute_components(texts, ids)
+    assert sum(i != c for i, (_, c) in expected.items()) == 60
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+
+
+def test_every_two_rows_of_a_region_meet(spark, monkeypatch):
+    # One region in every tree; rows that agree lie 50 rows apart in all orders.
+    monkeypatch.setattr(near_dedup, "NEIGHBOURS", 4)
+    monkeypatch.setattr(near_dedup, "REGION_ROWS", 16)
+    rng = np.random.default_rng(5)
+    rows = []
+    for node in range(100):
+        group = node % 50
+        values = np.random.default_rng(100 + group).integers(0, 1 << 16, (near_dedup.TREES, near_dedup.DEPTH))
+        values[:, : near_dedup.LEAST_DEPTH] = 9
+        values[:, near_dedup.LEAST_DEPTH] = rng.permutation(near_dedup.TREES) + 100 * node
+        rows.append((node, values.astype(">u2").tobytes()))
+    nodes = spark.createDataFrame(rows, "node long, signature binary")
+    found = components(near_dedup.candidate_pairs(nodes)).collect()
+    together = {r.node: r.component for r in found}
+    assert all(together.get(i) == together.get(i + 50, -1) for i in range(50))
+
+
 def test_null_and_repeated_keys(documents, prose):
     text = prose(42, 60)
     frame = documents([text, text, text, "alone here", None], ids=[None, 7, 7, None, None])
