@@ -80,7 +80,8 @@ class Dictionary:
 
     def __init__(self, chars: int = DICTIONARY_CHARS):
         self.chars = chars
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)  # ints of 32 bits: places in
+        self.table = np.zeros(0, dtype="int64")  # the table of payloads
         self.held = 0
         self.waiting: dict[bytes, int] = {}
 
@@ -88,9 +89,10 @@ class Dictionary:
         """Takes the waiting words up once they are as many as the words held."""
         if not self.waiting or len(self.waiting) < len(self.automaton) // 2:
             return
-        for word, payload in self.waiting.items():
-            self.automaton.add_word(f" {word.decode('latin-1')} ", payload)
+        for place, word in enumerate(self.waiting, len(self.table)):
+            self.automaton.add_word(f" {word.decode('latin-1')} ", place)
         self.automaton.make_automaton()
+        self.table = np.append(self.table, np.fromiter(self.waiting.values(), "int64"))
         self.waiting = {}
 
     def payloads(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -100,7 +102,7 @@ class Dictionary:
             hits = np.fromiter(
                 itertools.chain.from_iterable(self.automaton.iter(data.decode("latin-1"))), "int64"
             ).reshape(-1, 2)
-            found[np.searchsorted(ends, hits[:, 0])] = hits[:, 1]
+            found[np.searchsorted(ends, hits[:, 0])] = self.table[hits[:, 1]]
         gaps = np.flatnonzero(found == 0)  # a payload holds a length, so it is never 0
         met: dict[bytes, int] = {}
         for i, start, end in zip(gaps.tolist(), starts[gaps].tolist(), ends[gaps].tolist()):
