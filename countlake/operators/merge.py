@@ -3,21 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from countlake.operators.metrics import WEEKDAY_GROUP, rolling_metrics, same_weekday, with_weekday
 from countlake.operators.serving import in_date_range
 from countlake.schemas import DAILY_KEY, DAILY_METRICS
-from countlake.session import path_is_missing, write_through
-from countlake.sources.daily_table import (
-    PARTITION_COLUMNS,
-    read_daily,
-    replace_months,
-    write_daily,
-)
+from countlake.session import write_through
+from countlake.sources.daily_table import PARTITION_COLUMNS, commit_daily, is_flat
+from countlake.sources.versions import Snapshot
 
 # Rows of a weekday that a row's metrics reach back to.
 _REACH = 4
@@ -66,19 +62,15 @@ def merge_daily(existing: DataFrame, incoming: DataFrame, undated: bool = False)
     return merged.unionByName(new_undated(existing, incoming)) if undated else merged
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table; None where nothing has been stored yet."""
-    try:
-        stored = read_daily(spark, path)
-    except AnalysisException as error:
-        if path_is_missing(error):
-            return None
-        raise
-    if set(PARTITION_COLUMNS) <= set(stored.columns):
-        return stored
-    if stored.isEmpty():
-        return None
-    raise ValueError(f"{path} is not partitioned by year and month: copy it with write_daily first")
+def _commit(
+    spark: SparkSession,
+    path: str,
+    change: Callable[[DataFrame | None], DataFrame | None],
+    replace: bool = False,
+) -> Snapshot:
+    if is_flat(spark, path):
+        raise ValueError(f"{path} is not partitioned by year and month: copy it with write_daily first")
+    return commit_daily(spark, path, change, replace)
 
 
 def _date_span(df: DataFrame) -> tuple[dt.date | None, dt.date | None, int]:
@@ -91,24 +83,25 @@ def _date_span(df: DataFrame) -> tuple[dt.date | None, dt.date | None, int]:
     return span["first"], span["last"], span["undated"]
 
 
-def merge_into(spark: SparkSession, path: str, incoming: DataFrame) -> None:
-    """First-writer-wins merge into the table at ``path``.
+def merge_into(spark: SparkSession, path: str, incoming: DataFrame) -> Snapshot:
+    """First-writer-wins merge into the table at ``path``; returns the version it made.
 
     Stored rows never change under this rule, so the table is not rewritten:
     new keys are appended, and only the months the run touches are read to
-    find them. A run that is repeated, or was cut off while it committed,
-    finds its own rows stored and adds just the missing ones.
+    find them. A run that is repeated finds its own rows stored and adds
+    nothing; one that was cut off has added nothing. Of two writers at a time
+    the later works its rows out again on top of the other's.
     """
-    existing = _stored(spark, path)
-    if existing is None:
-        write_daily(one_row_per_key(incoming), path, mode="append")
-        return
     incoming = write_through(incoming, "incoming")
     first, last, undated = _date_span(incoming)
-    new = new_days(in_date_range(existing, first, last), incoming)
-    if undated:
-        new = new.unionByName(new_undated(existing, incoming))
-    write_daily(new, path, mode="append")
+
+    def change(existing: DataFrame | None) -> DataFrame:
+        if existing is None:
+            return one_row_per_key(incoming)
+        new = new_days(in_date_range(existing, first, last), incoming)
+        return new.unionByName(new_undated(existing, incoming)) if undated else new
+
+    return _commit(spark, path, change)
 
 
 def _context(existing: DataFrame, changed: DataFrame, after: bool) -> DataFrame:
@@ -168,50 +161,57 @@ def _context(existing: DataFrame, changed: DataFrame, after: bool) -> DataFrame:
     return rest.select(*_COUNTS).unionByName(full.select(*_COUNTS))
 
 
-def append_counts(spark: SparkSession, path: str, counts: DataFrame) -> None:
+def append_counts(spark: SparkSession, path: str, counts: DataFrame) -> Snapshot:
     """First-writer-wins merge of daily counts, with baselines from stored history.
 
     Counts of stored days are left out. The metrics of the others are made
     from the stored rows that precede them, so that ingesting days in parts
     gives what one run over all of them gives, as long as they come in order.
-    ``counts`` has one row per daily key.
+    ``counts`` has one row per daily key. Returns the version it made.
     """
-    existing = _stored(spark, path)
-    if existing is None:
-        write_daily(rolling_metrics(counts), path, mode="append")
-        return
     counts = write_through(counts.select(*_COUNTS), "counts")
     first, last, undated = _date_span(counts)
-    stored = in_date_range(existing, first, last).select(*DAILY_KEY)
-    dated = counts.filter("date is not null")
-    new = write_through(dated.join(stored, DAILY_KEY, "left_anti"), "new-counts")
-    history = _context(existing, new, after=False).withColumn("is_new", F.lit(False))
-    rows = history.unionByName(new.withColumn("is_new", F.lit(True)))
-    redone = rolling_metrics(rows, keep=["is_new"]).filter("is_new").drop("is_new")
-    if undated:
-        loose = rolling_metrics(counts.filter("date is null"))
-        redone = redone.unionByName(new_undated(existing, loose))
-    write_daily(redone, path, mode="append")
 
+    def change(existing: DataFrame | None) -> DataFrame:
+        if existing is None:
+            return rolling_metrics(counts)
+        stored = in_date_range(existing, first, last).select(*DAILY_KEY)
+        dated = counts.filter("date is not null")
+        new = write_through(dated.join(stored, DAILY_KEY, "left_anti"), "new-counts")
+        history = _context(existing, new, after=False).withColumn("is_new", F.lit(False))
+        rows = history.unionByName(new.withColumn("is_new", F.lit(True)))
+        redone = rolling_metrics(rows, keep=["is_new"]).filter("is_new").drop("is_new")
+        if undated:
+            loose = rolling_metrics(counts.filter("date is null"))
+            redone = redone.unionByName(new_undated(existing, loose))
+        return redone
+
+    return _commit(spark, path, change)
 
-def recompute_into(spark: SparkSession, path: str, counts: DataFrame) -> None:
+
+def recompute_into(spark: SparkSession, path: str, counts: DataFrame) -> Snapshot:
     """Last-writer-wins merge of daily counts, with metrics redone from history.
 
     ``counts`` replaces the stored counts of its keys. A count affects its own
     row and at most the four rows after it of its sensor and weekday: only
-    those are redone, and only the months they lie in are replaced, from a
-    copy that is written to the shared folder first. Every count needs a date.
+    those are redone, and only the months they lie in are replaced, all at once,
+    by the new version that is returned. Every count needs a date.
     """
     counts = write_through(counts.select(*_COUNTS), "counts")
     first, _, undated = _date_span(counts)
     if undated:
         raise ValueError("recomputing needs a date on every count")
-    existing = _stored(spark, path)
-    if existing is None:
-        write_daily(rolling_metrics(counts), path, mode="append")
-        return
-    if first is None:
-        return
+
+    def change(existing: DataFrame | None) -> DataFrame | None:
+        if existing is None:
+            return rolling_metrics(counts)
+        return _redone(existing, counts) if first else None
+
+    return _commit(spark, path, change, replace=True)
+
+
+def _redone(existing: DataFrame, counts: DataFrame) -> DataFrame:
+    """All rows of the months in which ``counts`` changes something."""
     history = _context(existing, counts, after=True).join(
         counts.select(*DAILY_KEY), DAILY_KEY, "left_anti"
     )
@@ -234,8 +234,7 @@ def recompute_into(spark: SparkSession, path: str, counts: DataFrame) -> None:
         .join(months, PARTITION_COLUMNS, "left_semi")
         .join(affected.select(*DAILY_KEY), DAILY_KEY, "left_anti")
     )
-    result = affected.unionByName(others.select(*DAILY_METRICS.names))
-    replace_months(write_through(result, "recomputed"), path)
+    return affected.unionByName(others.select(*DAILY_METRICS.names))
 
 
 def _last_rows(updates: DataFrame, key: str, order: str | None) -> DataFrame:

@@ -461,6 +461,20 @@ def merge_daily_table(spark: SparkSession, sf: str) -> DataFrame:
     return daily_table.read_daily(spark, path).select(*DAILY_METRICS.names)
 
 
+@query
+def merge_daily_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions side by side: the first, read while the second was being written, and the second."""
+    path = shared_dir(spark, "daily")
+    known = daily(spark, sf)
+    first = merge.merge_into(spark, path, known.filter(F.col("date") < F.lit(MERGE_CUT)))
+    before = daily_table.read_daily(spark, path).select(F.lit(1).alias("version"), *DAILY_METRICS.names)
+    plus_one = F.col("daily_visitor_count") + 1
+    merge.merge_into(spark, path, known.withColumn("daily_visitor_count", plus_one))
+    again = daily_table.read_daily(spark, path, first.version).select(*DAILY_METRICS.names)
+    after = daily_table.read_daily(spark, path).select(F.lit(2).alias("version"), *DAILY_METRICS.names)
+    return before.unionByName(again.withColumn("version", F.lit(0))).unionByName(after)
+
+
 @query
 def merge_daily_units(spark: SparkSession, sf: str) -> DataFrame:
     """Counts of a second unit come in beside the stored ones."""

@@ -306,6 +306,11 @@ from (select date, agency_name, daily_visitor_count, prev_avg_4_visits from roll
       order by daily_visitor_count desc, date, agency_name limit 10)""",
     "merge_daily": _MERGED,
     "merge_daily_table": _MERGED,
+    "merge_daily_snapshot": f"""
+select cast(version as int) as version, {_DAILY_COLUMNS} from v_daily
+cross join (select unnest([0, 1]) as version) where date < date '2024-01-20'
+union all
+select cast(2 as int) as version, {_DAILY_COLUMNS} from ({_MERGED})""",
     "merge_daily_units": f"""
 select {_DAILY_COLUMNS} from v_daily
 union all
