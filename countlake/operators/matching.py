@@ -22,6 +22,11 @@ ARRAY_CHARS = 1_000_000
 INDEXED_LENGTH = 64
 INDEXED_DISTANCE = 2
 
+# Beyond those, such names go down the prefixes of the entries: about so many below each.
+FANOUT = 32
+# Beginnings of a name that a prefix is first compared with: this much shorter or longer.
+NEAR_ENDS = 8
+
 
 def dictionary_entries(dictionary: DataFrame) -> DataFrame:
     """Known names in the same spelling as the readings: one column ``entry``."""
@@ -93,7 +98,7 @@ def _match_by_keys(names: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def _match_by_chunks(names: DataFrame, entries: DataFrame, chunk_count: int) -> DataFrame:
-    """Exact best entry for names that are far from every entry.
+    """Exact best entry for names that are very long.
 
     The dictionary is cut into arrays of bounded size; each name meets each
     array once and keeps one candidate from it. A second key spreads the names
@@ -120,6 +125,104 @@ def _match_by_chunks(names: DataFrame, entries: DataFrame, chunk_count: int) ->
     )
 
 
+def _cut_depths(entries: DataFrame) -> list[int]:
+    """Lengths at which entries are cut to prefixes, so that a prefix has about FANOUT longer ones."""
+    counts = entries.agg(
+        *[F.approx_count_distinct(F.substring("entry", 1, d)).alias(str(d)) for d in range(1, INDEXED_LENGTH + 1)],
+        F.approx_count_distinct("entry").alias("all"),
+    ).first()
+    depths, held = [], 1
+    while not depths or (depths[-1] < INDEXED_LENGTH and held * FANOUT < counts["all"]):
+        depth = depths[-1] + 1 if depths else 1
+        while depth < INDEXED_LENGTH and counts[str(depth + 1)] <= held * FANOUT:
+            depth += 1
+        depths.append(depth)
+        held = max(counts[str(depth)], 1)
+    return depths
+
+
+def _prefix_levels(entries: DataFrame, depths: list[int]) -> list[DataFrame]:
+    """Per depth the prefixes with the one before (parent) and the lengths of what follows (low, high).
+
+    The last level holds the entries. An entry shorter than a depth is its own prefix.
+    """
+    levels = []
+    for depth, before in zip(depths, [0, *depths]):
+        prefix = F.substring("entry", 1, depth)
+        rest = F.length("entry") - F.length(prefix)
+        found = entries.groupBy(F.substring("entry", 1, before).alias("parent"), prefix.alias("prefix")).agg(
+            F.min(rest).alias("low"), F.max(rest).alias("high")
+        )
+        levels.append(write_through(found, "prefixes"))
+    leaves = entries.select(F.substring("entry", 1, depths[-1]).alias("parent"), F.col("entry").alias("prefix"))
+    return [*levels, leaves]
+
+
+def _least_distance(reach: Column, rest_counts: bool = True) -> Column:
+    """A bound on the distance from the name to every entry with the prefix.
+
+    Some beginning of the name is turned into the prefix, and the rest of it
+    differs from what follows at least by its length, if ``rest_counts``.
+    Beginnings that differ from the prefix in length by more than ``reach`` are
+    left out.
+    """
+    name, prefix = F.col("agency_name"), F.col("prefix")
+    size, depth = F.length(name), F.length(prefix)
+
+    def cost(k: Column) -> Column:
+        rest = size - k
+        own = F.levenshtein(F.substring(name, F.lit(1), k), prefix)
+        return own + F.greatest(F.col("low") - rest, rest - F.col("high"), F.lit(0)) if rest_counts else own
+
+    ends = F.sequence(F.greatest(depth - reach, F.lit(0)), F.least(size, depth + reach))
+    return F.when(size >= depth - reach, F.array_min(F.transform(ends, cost)))
+
+
+def _below(held: DataFrame, level: DataFrame) -> DataFrame:
+    """The prefixes of a level under those that the names hold."""
+    return held.withColumnRenamed("prefix", "parent").join(level, "parent").drop("parent")
+
+
+def _match_by_prefixes(names: DataFrame, entries: DataFrame) -> DataFrame:
+    """Exact best entry by branch and bound over prefixes of the entries.
+
+    First each name goes down to the most promising prefix of every level; the
+    entry it ends at gives the distance to beat. Then all prefixes whose bound
+    does not exceed it are followed, so the best entry and its ties are met.
+    Levels are equi-joins on the prefix before. What is compared grows with the
+    prefixes near a name, not with the entries.
+    """
+    *levels, leaves = _prefix_levels(entries, _cut_depths(entries))
+    roots = levels[0].agg(F.collect_list(F.struct("prefix", "low", "high")).alias("roots")).scalar()
+    rooted = names.select("agency_name", F.explode(roots).alias("root"))
+
+    def best(held: DataFrame, *by: Column) -> DataFrame:
+        ranks = [F.coalesce(c, F.lit(1 << 30)).alias(f"by_{i}") for i, c in enumerate(by)]
+        least = F.min(F.struct(*ranks, "prefix"))
+        return held.groupBy("agency_name").agg(least.alias("best")).select("agency_name", "best.*")
+
+    near = F.lit(NEAR_ENDS)
+    promise = _least_distance(near), _least_distance(near, rest_counts=False)
+    held = best(rooted.select("agency_name", "root.*"), *promise)
+    for level in levels[1:]:
+        held = best(_below(held.select("agency_name", "prefix"), level), *promise)
+    distance = F.levenshtein("agency_name", "prefix")
+    ended = best(_below(held.select("agency_name", "prefix"), leaves), distance)
+    beat = write_through(ended.select("agency_name", F.col("by_0").alias("beat")), "distances")
+
+    def possible(held: DataFrame) -> DataFrame:
+        bound = _least_distance(F.col("beat"))
+        return held.filter(bound <= F.col("beat")).select("agency_name", "beat", "prefix")
+
+    held = possible(rooted.join(beat, "agency_name").select("agency_name", "beat", "root.*"))
+    for level in levels[1:]:
+        held = possible(_below(held, level))
+    compared = _below(held, leaves).select(
+        "agency_name", F.levenshtein("agency_name", "prefix").alias("distance"), F.col("prefix").alias("closest_match")
+    )
+    return compared.groupBy("agency_name").agg(F.min(F.struct("distance", "closest_match")).alias("best"))
+
+
 def closest_match(
     names: DataFrame,
     dictionary: DataFrame,
@@ -141,13 +244,14 @@ def closest_match(
         entries = write_through(entries, "entries")
         names = write_through(names, "names")
         near = write_through(_match_by_keys(names, entries), "near")
-        if max_distance is not None and max_distance <= INDEXED_DISTANCE:
-            long_names = names.filter(F.length("agency_name") > INDEXED_LENGTH)
-        else:
-            long_names = names.join(near, "agency_name", "left_anti")
-        chunk_count = max(-(-size.n // array_entries), -(-size.chars // ARRAY_CHARS))
-        far = _match_by_chunks(long_names, entries, chunk_count)
-        found = near.unionByName(far)
+        far = write_through(names.join(near, "agency_name", "left_anti"), "far-names")
+        is_long = F.length("agency_name") > INDEXED_LENGTH
+        found = near
+        if max_distance is None or max_distance > INDEXED_DISTANCE:
+            found = found.unionByName(_match_by_prefixes(far.filter(~is_long), entries))
+        if not (long_names := far.filter(is_long)).isEmpty():
+            chunk_count = max(-(-size.n // array_entries), -(-size.chars // ARRAY_CHARS))
+            found = found.unionByName(_match_by_chunks(long_names, entries, chunk_count))
         best = names.join(found, "agency_name", "left")
     match = F.col("best.closest_match")
     if max_distance is not None:

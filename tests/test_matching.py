@@ -104,3 +104,33 @@ def test_small_corrections_are_broadcast(spark):
     fixed = matching.correct_names(readings, names_df(spark, ["lyon_1"]))
     plan = fixed._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_far_names_meet_few_prefixes(spark, monkeypatch):
+    entries = [f"customer#{k:09d}" for k in range(20_000)]
+    rng = random.Random(3)
+    names = sorted({f"the_{e}_{k}" for k, e in enumerate(rng.sample(entries, 200))}) + ["kustomar 100000123"]
+    real, met = matching._below, []
+
+    def below(held, level):
+        met.append(real(held, level))
+        return met[-1]
+
+    monkeypatch.setattr(matching, "_below", below)
+    got = matched(matching.closest_match(names_df(spark, names), names_df(spark, entries), array_entries=100))
+    # No entry can be nearer than the difference in length; that of the name's origin is as near.
+    assert all(distance(n, got[n]) == len(n) - 18 and got[n] <= n[4:22] for n in names if n[0] == "t")
+    assert got["kustomar 100000123"] == "customer#000000123"
+    pairs = len(names) * len(entries)
+    compared = [frame.count() for frame in met]
+    assert compared[-1] < pairs / 100  # with whole entries
+    assert sum(compared) + 2 * matching.FANOUT * len(names) < pairs / 50  # with prefixes as well
+
+
+def test_names_of_any_shape_get_the_nearest_entry(spark):
+    rng = random.Random(11)
+    entries = [*random_names(rng, 150, "ab", 14), "", "é" * 30, "x" * 80, "ab" * 40]
+    names = [n for n in random_names(rng, 60, "abc", 20) if n not in entries]
+    names += ["ééé", "x" * 64, "xab" * 20, "中文中文中文", "ba" * 31, "_________"]
+    got = matched(matching.closest_match(names_df(spark, names), names_df(spark, entries), array_entries=5))
+    assert got == {n: best(n, entries) for n in names}
