@@ -588,6 +588,11 @@ def missing_hours(spark: SparkSession, sf: str) -> DataFrame:
     return gaps.missing_hours(view(spark, sf, "v_readings"))
 
 
+@query
+def missing_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return gaps.missing_spans(view(spark, sf, "v_readings"))
+
+
 # --- validation ----------------------------------------------------------
 
 

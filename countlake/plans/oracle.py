@@ -368,6 +368,18 @@ cross join (select cast(unnest([9, 10, 11, 13, 14, 15, 16, 17]) as int) as hour)
 where isodow(d.date) <= 5 and not exists (
   select 1 from v_readings r where r.agency_name = s.agency_name and r.counter_id = s.counter_id
   and r.date = d.date and r.hour = h.hour)""",
+    "missing_spans": """
+select agency_name, counter_id, arg_min(date, n) as first_date, arg_min(hour, n) as first_hour,
+       arg_max(date, n) as last_date, arg_max(hour, n) as last_hour, count(*) as hours
+from (select s.*, g.date, g.hour, g.n, g.n - row_number() over (partition by s.agency_name, s.counter_id order by g.n) as island
+      from (select distinct agency_name, counter_id from v_readings) s
+      cross join (select d.date, h.hour, row_number() over (order by d.date, h.hour) as n
+                  from (select cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date from v_readings) d
+                  cross join (select cast(unnest([9, 10, 11, 13, 14, 15, 16, 17]) as int) as hour) h
+                  where isodow(d.date) <= 5) g
+      where not exists (select 1 from v_readings r where r.agency_name = s.agency_name
+                        and r.counter_id = s.counter_id and r.date = g.date and r.hour = g.hour))
+group by agency_name, counter_id, island""",
     "validate_footfall": """
 select unnest(['branch_id_present', 'detector_id_max_50', 'timestamp_present', 'visitor_count_min_0',
                'entry_count_min_0', 'exit_count_min_0']) as rule,
