@@ -15,9 +15,9 @@ a run of windows is one row, about two rows for seven words.
    share one list of items, which is put together once, so a passage that all
    items and a third of all documents hold makes no pairs of them.
 
-Joins are equi-joins of written tables: those of known small size are
-broadcast by the optimizer, others are shuffled, and hot keys split by adaptive
-execution. Documents are moved only in step 2, and only those that were hit.
+Joins are equi-joins. Written tables of the benchmark are broadcast by the
+optimizer where they are small, else shuffled; adaptive execution splits hot
+keys. Texts are shuffled once, to meet their hits in step 2.
 """
 
 from __future__ import annotations
@@ -55,14 +55,17 @@ def _spread(values: Column, width: int, combine: Callable[[Column, Column], Colu
     Takes logarithmically many steps over the array; combining overlapping parts
     must do no harm. What stands after the last whole run has no meaning.
     """
+
+    def joined(values: Column, step: int) -> Column:
+        return _let(
+            values,
+            lambda held: F.transform(held, lambda x, i: combine(x, F.get(held, i + step))),
+        )
+
     reach = 1
     while reach < width:
         step = min(reach, width - reach)
-
-        def joined(held: Column, step: int = step) -> Column:
-            return F.transform(held, lambda x, i: combine(x, F.get(held, i + step)))
-
-        values = _let(values, joined)
+        values = joined(values, step)
         reach += step
     return values
 
@@ -145,13 +148,26 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, add, lambda held: held["n"])
 
 
-def hits(
-    docs: DataFrame,
-    marks: DataFrame,
-    windows: DataFrame,
-    key: str,
-    text: str,
-) -> DataFrame:
+def _marked(docs: DataFrame, key: str, text: str, lengths: list[int]) -> DataFrame:
+    """(key, id, n_words, marks): the runs of windows of all lengths in every document."""
+    split = docs.select(
+        F.col(key).alias("key"), _identity(key, text).alias("id"), words(F.col(text)).alias("words")
+    )
+    hashed = split.select(
+        "key",
+        "id",
+        F.size("words").cast("long").alias("n_words"),
+        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
+    )
+    prints = hashed.select(
+        "key", "id", "n_words", *[_fingerprints(F.col("hashes"), m).alias(f"p{m}") for m in lengths]
+    )
+    runs = [F.when(F.size(f"p{m}") > 0, _runs(F.col(f"p{m}"), m)).otherwise(F.array()) for m in lengths]
+    nothing = F.array().cast("array<struct<m:int,print:bigint,first:int,last:int>>")
+    return prints.select("key", "id", "n_words", F.concat(nothing, *runs).alias("marks"))
+
+
+def hits(docs: DataFrame, marks: DataFrame, windows: DataFrame, key: str, text: str) -> DataFrame:
     """(id, spans, classes) of the documents that hold windows: where, and of which classes."""
     prints = write_through(windows.select("m", "print").distinct(), "prints")
     runs = (
@@ -164,19 +180,23 @@ def hits(
     hit = write_through(
         runs.groupBy("id").agg(F.collect_list(F.struct("m", "first", "last")).alias("runs")), "print-hits"
     )
-    found = (
-        docs.select(_identity(key, text).alias("id"), F.col(text).alias("text"))
-        .join(hit, "id")
+    # Hits grow with the documents: both sides are shuffled at any size, never broadcast.
+    texts = docs.select(_identity(key, text).alias("id"), F.col(text).alias("text")).hint("shuffle_merge")
+    placed = (
+        texts.join(hit, "id")
         .dropDuplicates(["id"])
         .select("id", words(F.col("text")).alias("words"), "runs")
         .select("id", "words", F.explode("runs").alias("run"))
         .select("id", "words", "run.m", F.explode(F.sequence("run.first", "run.last")).alias("first"))
-        .select("id", "m", "first", F.array_join(F.slice("words", F.col("first"), F.col("m")), " ").alias("phrase"))
-        .join(windows.select("m", "phrase", "class"), ["m", "phrase"])
     )
+    phrase = F.array_join(F.slice("words", F.col("first"), F.col("m")), " ")
+    found = placed.select("id", "m", "first", phrase.alias("phrase")).join(
+        windows.select("m", "phrase", "class"), ["m", "phrase"]
+    )
+    last = (F.col("first") + F.col("m") - 1).alias("last")
     return write_through(
         found.groupBy("id").agg(
-            F.collect_set(F.struct("first", (F.col("first") + F.col("m") - 1).alias("last"))).alias("spans"),
+            F.collect_set(F.struct("first", last)).alias("spans"),
             F.array_sort(F.collect_set("class")).alias("classes"),
         ),
         "window-hits",
@@ -221,17 +241,7 @@ def contamination(
     """
     windows = benchmark_windows(benchmark, item, item_text, window)
     lengths = [r.m for r in windows.select("m").distinct().orderBy("m").collect()]  # at most ``window``
-    split = docs.select(
-        F.col(key).alias("key"), _identity(key, text).alias("id"), words(F.col(text)).alias("words")
-    ).select("key", "id", F.size("words").cast("long").alias("n_words"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
-    prints = split.select(
-        "key", "id", "n_words", *[_fingerprints(F.col("hashes"), m).alias(f"p{m}") for m in lengths]
-    )
-    runs = [F.when(F.size(f"p{m}") > 0, _runs(F.col(f"p{m}"), m)).otherwise(F.array()) for m in lengths]
-    nothing = F.array().cast("array<struct<m:int,print:bigint,first:int,last:int>>")
-    marks = write_through(
-        prints.select("key", "id", "n_words", F.concat(nothing, *runs).alias("marks")), "fingerprints"
-    )
+    marks = write_through(_marked(docs, key, text, lengths), "fingerprints")
     found = hits(docs, marks, windows, key, text)
     lists = write_through(_item_lists(found, windows), "item-lists")
     judged = found.join(lists, "classes").select(

@@ -175,7 +175,7 @@ def test_contamination_equals_brute_force(spark, documents, prose, odd_texts):
     assert got == {i: brute_contamination(t, items) for i, t in zip(ids, texts)}
 
 
-@pytest.mark.parametrize("window", [1, 2, 3, 5, 7, 10, 13])
+@pytest.mark.parametrize("window", [1, 3, 10, 13])
 def test_every_window_size(spark, documents, window):
     random_ = random.Random(window)
     letters = lambda n: " ".join(random_.choice("abc") for _ in range(n))
@@ -201,9 +201,10 @@ def test_contamination_of_nothing(spark, documents):
     assert sorted((r.n_words, r.n_hit) for r in rows) == [(0, 0), (2, 0)]
 
 
-def test_contamination_runs_no_python(spark, documents, prose):
+def test_contamination_runs_no_python(spark, documents, prose, tmp_path):
     bench = spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string")
-    plan = decontamination.contamination(documents([prose(1, 30)]), bench)
+    documents([prose(1, 30)]).write.parquet(str(tmp_path / "documents"))
+    plan = decontamination.contamination(spark.read.parquet(str(tmp_path / "documents")), bench)
     text = plan._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
@@ -211,7 +212,11 @@ def test_contamination_runs_no_python(spark, documents, prose):
 
 
 def test_winnowing_guarantees_a_print_per_window(spark):
-    values = np.random.default_rng(1).integers(0, 5, 300).tolist()
+    random_ = np.random.default_rng(1)
+    values = random_.integers(0, 5, 300).tolist()
+    frame = spark.createDataFrame([(random_.integers(0, 1 << 60, 5000).tolist(),)], "h array<long>")
+    few = frame.select(F.size(decontamination._runs(decontamination._fingerprints(F.col("h"), 10), 10)))
+    assert 0.26 < few.first()[0] / 5000 < 0.32  # two runs for seven words
     frame = spark.createDataFrame([(values,)], "h array<long>")
     for m in (1, 2, 4, 10):
         row = frame.select(
