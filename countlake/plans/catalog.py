@@ -26,6 +26,8 @@ from countlake.schemas import DAILY_METRICS, RAW_COLUMNS
 from countlake.session import shared_dir
 from countlake.sources import daily_table, raw_csv, records
 from countlake.streaming.ingest import start_ingest
+from countlake.streaming.baselines import start_rolling
+from countlake.streaming.late import all_totals, start_daily_with_late
 from countlake.streaming.windows import latest_totals, start_daily_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -668,19 +670,74 @@ def stream_ingest_batches(spark: SparkSession, sf: str) -> DataFrame:
     return daily_table.read_daily(spark, f"{folder}/daily").select(*DAILY_METRICS.names)
 
 
-@query
-def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
-    folder = shared_dir(spark, "windows")
-    event_schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    # A pattern, so that the table may be one file or a folder of files.
-    events = spark.readStream.schema(event_schema).parquet(f"{sf}/events.parquet*")
-    readings = events.select(
+def timed_readings(events: DataFrame) -> DataFrame:
+    """Measured readings with the time of their event."""
+    return events.select(
+        "event_id",
         F.col("ts").cast(T.TimestampType()).alias("event_ts"),
         F.concat(F.lit("nation_"), (F.col("user_id") % 5).cast("string")).alias("agency_name"),
         (F.col("event_id") % 3).cast("int").alias("counter_id"),
         F.floor("value").cast("int").alias("visitor_count"),
         "event_type",
     ).filter(~F.col("event_type").isin("error", "signup") & (F.col("visitor_count") > 0))
-    totals = start_daily_windows(readings, f"{folder}/totals", f"{folder}/checkpoint")
+
+
+@query
+def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_dir(spark, "windows")
+    event_schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    # A pattern, so that the table may be one file or a folder of files.
+    events = spark.readStream.schema(event_schema).parquet(f"{sf}/events.parquet*")
+    totals = start_daily_windows(timed_readings(events), f"{folder}/totals", f"{folder}/checkpoint")
     totals.awaitTermination()
     return latest_totals(spark, f"{folder}/totals")
+
+
+@query
+def stream_late_readings(spark: SparkSession, sf: str) -> DataFrame:
+    """Two halves of the month land in order, then one reading in ten of all days, most of them late."""
+    folder = shared_dir(spark, "late")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    straggling, second_half = F.col("event_id") % 10 == 9, F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    for part in (~straggling & ~second_half, ~straggling & second_half, straggling):
+        events.filter(part).write.mode("append").parquet(f"{folder}/landed")
+        landed = spark.readStream.schema(events.schema).parquet(f"{folder}/landed")
+        start_daily_with_late(
+            timed_readings(landed),
+            f"{folder}/totals",
+            f"{folder}/late",
+            f"{folder}/marks",
+            f"{folder}/checkpoint",
+        ).awaitTermination()
+    return all_totals(spark, f"{folder}/totals", f"{folder}/late")
+
+
+@query
+def stream_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """All files land twice at once and a third time later; every reading counts once."""
+    folder = shared_dir(spark, "replayed")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    for copies in (2, 1):
+        for _ in range(copies):
+            events.write.mode("append").parquet(f"{folder}/landed")
+        landed = spark.readStream.schema(events.schema).parquet(f"{folder}/landed")
+        start_daily_windows(
+            timed_readings(landed), f"{folder}/totals", f"{folder}/checkpoint", reading_key=["event_id"]
+        ).awaitTermination()
+    return latest_totals(spark, f"{folder}/totals")
+
+
+@query
+def stream_rolling(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily counts of six years: the first years are stored, two parts land after them."""
+    folder = shared_dir(spark, "rolling")
+    counts = view(spark, sf, "v_daily_long")
+    stored = counts.filter("year(date) < 1994")
+    for part in ("year(date) between 1994 and 1995", "year(date) > 1995"):
+        counts.filter(part).write.mode("append").parquet(f"{folder}/landed")
+        landed = spark.readStream.schema(counts.schema).parquet(f"{folder}/landed")
+        start_rolling(
+            landed, f"{folder}/daily", f"{folder}/behind", f"{folder}/state", f"{folder}/checkpoint", stored
+        ).awaitTermination()
+    streamed = spark.read.schema(DAILY_METRICS).parquet(f"{folder}/daily")
+    return metrics.rolling_metrics(stored).unionByName(streamed.select(*DAILY_METRICS.names))

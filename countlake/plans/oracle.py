@@ -413,6 +413,19 @@ select f.*, b.name as branch_name, b.city as branch_city from v_footfall f join
     "stream_ingest": _metric_chain("clean_counts"),
     "stream_ingest_batches": _metric_chain("clean_counts"),
     "stream_daily": "select date, agency_name, counter_id, daily_visitor_count from counts",
+    "stream_replayed": "select date, agency_name, counter_id, daily_visitor_count from counts",
+    "stream_rolling": "select * from v_daily_metrics_long",
+    "stream_late_readings": """
+select date, agency_name, counter_id,
+       cast(coalesce(sum(visitor_count) filter (not is_late), 0) as bigint) as on_time_count,
+       cast(coalesce(sum(visitor_count) filter (is_late), 0) as bigint) as late_count,
+       cast(sum(visitor_count) as bigint) as all_count
+from (select cast(ts as date) as date, concat('nation_', cast(user_id % 5 as varchar)) as agency_name,
+             cast(event_id % 3 as int) as counter_id, cast(floor(value) as int) as visitor_count,
+             event_id % 10 = 9 and cast(cast(ts as date) + 1 as timestamp) <=
+               max(ts) filter (event_id % 10 <> 9) over () - interval 1 day as is_late
+      from events where event_type not in ('error', 'signup') and floor(value) > 0)
+group by 1, 2, 3""",
 }
 
 

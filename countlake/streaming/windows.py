@@ -11,17 +11,24 @@ from pyspark.sql.streaming import StreamingQuery
 _KEY = ["date", "agency_name", "counter_id"]
 
 
-def daily_windows(readings: DataFrame, watermark: str = "1 day") -> DataFrame:
+def daily_windows(
+    readings: DataFrame, watermark: str = "1 day", reading_key: list[str] | None = None
+) -> DataFrame:
     """Sum per sensor and tumbling day of ``event_ts``.
 
     Readings that arrive later than the watermark are dropped, which bounds
     the state to the sensors of the open days. (The batch merge differs: it
-    never drops a late day that is not stored yet.)
+    never drops a late day that is not stored yet. ``late`` keeps them.) With
+    ``reading_key``, readings that are delivered again, in the same file or
+    another one, count once: keys are remembered until the watermark has passed
+    them, after which a repeat is late.
     """
     day = F.window("event_ts", "1 day")
+    marked = readings.withWatermark("event_ts", watermark)
+    if reading_key:
+        marked = marked.dropDuplicatesWithinWatermark(reading_key)
     return (
-        readings.withWatermark("event_ts", watermark)
-        .groupBy(day.alias("day"), "agency_name", "counter_id")
+        marked.groupBy(day.alias("day"), "agency_name", "counter_id")
         .agg(F.sum("visitor_count").alias("daily_visitor_count"))
         .select(
             F.to_date("day.start").alias("date"), "agency_name", "counter_id", "daily_visitor_count"
@@ -30,7 +37,11 @@ def daily_windows(readings: DataFrame, watermark: str = "1 day") -> DataFrame:
 
 
 def start_daily_windows(
-    readings: DataFrame, output_path: str, checkpoint_path: str, watermark: str = "1 day"
+    readings: DataFrame,
+    output_path: str,
+    checkpoint_path: str,
+    watermark: str = "1 day",
+    reading_key: list[str] | None = None,
 ) -> StreamingQuery:
     """Writes the totals each batch changed to that batch's own folder, by date."""
 
@@ -39,7 +50,7 @@ def start_daily_windows(
         batch.write.mode("overwrite").partitionBy("date").parquet(own_folder)
 
     return (
-        daily_windows(readings, watermark)
+        daily_windows(readings, watermark, reading_key)
         .writeStream.outputMode("update")
         .foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint_path)
