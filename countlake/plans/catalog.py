@@ -24,7 +24,7 @@ from countlake.plans.transform import run_transform
 from countlake.plans.views import view
 from countlake.schemas import DAILY_METRICS, RAW_COLUMNS
 from countlake.session import shared_dir
-from countlake.sources import daily_table, raw_csv, records
+from countlake.sources import daily_table, lookup_table, raw_csv, records
 from countlake.streaming.ingest import start_ingest
 from countlake.streaming.baselines import start_rolling
 from countlake.streaming.late import all_totals, start_daily_with_late
@@ -332,6 +332,15 @@ def reading_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return serving.reading_lookup(view(spark, sf, "v_hourly"), "2024-01-10 10:00", "nation_1", 1)
 
 
+@query
+def reading_lookup_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lookup in readings stored for it: one folder is opened."""
+    path, time, agency = shared_dir(spark, "lookup"), "2024-01-10 10:00", "nation_1"
+    lookup_table.write_lookup(view(spark, sf, "v_hourly"), path)
+    found = lookup_table.stored_readings(spark, path, time, agency)
+    return serving.reading_lookup(found, time, agency, 1)
+
+
 @query
 def reading_lookup_all_sensors(spark: SparkSession, sf: str) -> DataFrame:
     return serving.reading_lookup(view(spark, sf, "v_hourly"), "2024-01-10 10:00", "nation_1")

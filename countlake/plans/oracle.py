@@ -156,6 +156,10 @@ _STATUS = """case visitor_count when -10 then 'broken' when -1 then 'closed'
 
 _LONG = "date between date '1996-03-01' and date '1998-09-30'"
 
+_LOOKUP = """
+select agency_name, date_time, visitor_count, unit, counter_id from v_hourly
+where date_time = '2024-01-10 10:00' and agency_name = 'nation_1' and counter_id = 1"""
+
 _MERGED = f"""
 select {_DAILY_COLUMNS} from v_daily where date < date '2024-01-20'
 union all
@@ -242,9 +246,8 @@ select agency_name, avg(daily_visitor_count) as avg_daily_visitors from v_daily_
 select agency_name, date_time, cast(sum(visitor_count) filter (visitor_count >= 0) as bigint) as visitor_count,
        count(*) filter (visitor_count = -1) as closed_sensors, count(*) filter (visitor_count = -10) as broken_sensors
 from v_hourly group by 1, 2""",
-    "reading_lookup": """
-select agency_name, date_time, visitor_count, unit, counter_id from v_hourly
-where date_time = '2024-01-10 10:00' and agency_name = 'nation_1' and counter_id = 1""",
+    "reading_lookup": _LOOKUP,
+    "reading_lookup_stored": _LOOKUP,
     "reading_lookup_all_sensors": """
 select agency_name, date_time, cast(sum(visitor_count) filter (visitor_count >= 0) as bigint) as visitor_count,
        'visitors' as unit, cast(null as int) as counter_id
