@@ -14,6 +14,7 @@ from countlake.operators import (
     cleaning,
     dimensions,
     gaps,
+    history,
     matching,
     merge,
     metrics,
@@ -573,6 +574,20 @@ def readings_with_agency(spark: SparkSession, sf: str) -> DataFrame:
     return dimensions.with_agency(view(spark, sf, "v_readings"), known_agencies(spark, sf))
 
 
+@query
+def readings_with_agency_asof(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings with their agency's size as of their day: two agencies grow, one twice."""
+    sizes = known_agencies(spark, sf).select(
+        "agency_name", F.lit("2020-01-01").cast("date").alias("valid_from"), "agency_size", "base_traffic"
+    )
+    grown = spark.sql("""
+        select * from values ('nation_1', date '2024-01-10', 'big', 5000), ('nation_3', date '2024-01-12', 'medium', 700),
+        ('nation_3', date '2024-01-21', 'big', 9000) as t(agency_name, valid_from, agency_size, base_traffic)""")
+    known = sizes.filter(F.col("agency_name") != "nation_4")
+    versions = history.with_versions(known, grown, "agency_name")
+    return history.join_as_of(view(spark, sf, "v_readings"), versions, "agency_name", "date")
+
+
 @query
 def opening_calendar(spark: SparkSession, sf: str) -> DataFrame:
     return dimensions.opening_calendar(view(spark, sf, "v_readings"))

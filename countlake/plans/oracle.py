@@ -343,6 +343,17 @@ from v_branches b left join v_branch_updates u on b.id = u.id""",
     "sensor_dimension": "select * from sensors",
     "readings_with_agency": """
 select r.*, d.* exclude (agency_name) from v_readings r join dimension d on r.agency_name = d.agency_name""",
+    "readings_with_agency_asof": """
+select r.*,
+       case when r.agency_name = 'nation_3' and date >= date '2024-01-21' then 'big'
+            when r.agency_name = 'nation_3' and date >= date '2024-01-12' then 'medium'
+            when r.agency_name = 'nation_1' and date >= date '2024-01-10' then 'big'
+            when r.agency_name <> 'nation_4' then d.agency_size end as agency_size,
+       cast(case when r.agency_name = 'nation_3' and date >= date '2024-01-21' then 9000
+                 when r.agency_name = 'nation_3' and date >= date '2024-01-12' then 700
+                 when r.agency_name = 'nation_1' and date >= date '2024-01-10' then 5000
+                 when r.agency_name <> 'nation_4' then d.base_traffic end as int) as base_traffic
+from v_readings r left join dimension d on r.agency_name = d.agency_name""",
     "opening_calendar": f"""
 select date, hour, {_WEEKDAY_MULTIPLIER} as weekday_multiplier, {_HOUR_MULTIPLIER} as hour_multiplier,
        {_WEEKDAY_MULTIPLIER} > 0 and {_HOUR_MULTIPLIER} > 0 as is_open
