@@ -35,6 +35,13 @@ HEADLINE = [
     "transform_run",
     "stream_ingest",
     "stream_daily",
+    "stream_late_readings",
+    "stream_rolling",
+    "merge_daily_snapshot",
+    "closest_match_large",
+    "missing_spans",
+    "reading_lookup_stored",
+    "readings_with_agency_asof",
 ]
 
 
