@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from countlake.session import write_through
 
 
-#: Pairs that a task joins up at a time.
-TOGETHER = 250_000
+#: Pairs that a task joins up at a time; a graph with fewer is joined up at once.
+TOGETHER = 500_000
 
 
 def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,8 +80,36 @@ def components(edges: DataFrame) -> DataFrame:
         ).first()
         if marks == state or marks[0] == 0:
             break
+        if marks[0] < TOGETHER:
+            edges = write_through(edges.coalesce(1).mapInArrow(_join_up, "a long, b long"), "components")
+            break
         state = marks
         edges = write_through(_link(edges.mapInArrow(_join_up, "a long, b long")), "components")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
+
+
+def components_of_both(first: DataFrame, rest: DataFrame) -> DataFrame:
+    """Components of the pairs in ``first`` and ``rest`` together.
+
+    ``first`` is to connect most of what ``rest`` does: of the pairs in
+    ``rest`` only those between different components of ``first`` are joined up.
+    """
+    known = write_through(components(first), "components")
+
+    def of(end: str) -> DataFrame:
+        return known.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in"))
+
+    apart = (
+        rest.join(of("a"), "a", "left")
+        .join(of("b"), "b", "left")
+        .select(F.coalesce("a_in", "a").alias("a"), F.coalesce("b_in", "b").alias("b"))
+        .where("a <> b")
+    )
+    more = components(apart).withColumnRenamed("component", "reached")
+    joined = known.join(
+        more.withColumnRenamed("node", "component"), "component", "left"
+    ).select("node", F.coalesce("reached", "component").alias("component"))
+    new = more.join(known.select("node"), "node", "left_anti")
+    return joined.union(new.select("node", F.col("reached").alias("component")))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from countlake.llm.components import components
+from countlake.llm.components import components, components_of_both
 from countlake.llm.words import Runs, Words, scramble, slices
 from countlake.session import write_through
 
@@ -43,6 +43,8 @@ SHINGLE_WORDS = 5
 SIMILARITY = 75  # in hundredths
 TREES, DEPTH = 24, 8
 LEAST_DEPTH = 3
+#: Trees whose pairs are joined up before those of the others.
+FIRST_TREES = 2
 #: Rows after a row that are looked at in a tree's order, while they share its prefix.
 #: Regions with more rows are compared in blocks afterwards.
 NEIGHBOURS = 128
@@ -104,7 +106,10 @@ def _signatures(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sign(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """uid, key, n_shingles, s1, s2 (name of the set), signature (null for an empty set)."""
+    """uid, key, mark (hash of the text), n_shingles, s1, s2 (name of the set), signature.
+
+    The signature is null for an empty set.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,17 +122,18 @@ def _sign(docs: DataFrame, text: str, key: str) -> DataFrame:
             yield pa.record_batch(
                 [
                     batch.column("key"),
+                    batch.column("mark"),
                     pa.array(sizes, pa.int64()),
                     pa.array(s1),
                     pa.array(s2),
                     pa.array(held, pa.binary()),
                 ],
-                names=["key", "n_shingles", "s1", "s2", "signature"],
+                names=["key", "mark", "n_shingles", "s1", "s2", "signature"],
             )
 
     return (
-        docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-        .mapInArrow(run, f"key {kind}, n_shingles long, s1 long, s2 long, signature binary")
+        docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+        .mapInArrow(run, f"key {kind}, mark long, n_shingles long, s1 long, s2 long, signature binary")
         .withColumn("uid", F.monotonically_increasing_id())
     )
 
@@ -203,15 +209,16 @@ def _neighbours(reach: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     begin or end with it.
     """
 
-    def found(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return _marked(a, b, [None] * len(a), [None] * len(a))
+    def found(a: np.ndarray, b: np.ndarray, tree: np.ndarray) -> pa.RecordBatch:
+        return _marked(a, b, [None] * len(a), [None] * len(a), tree)
 
     def marks(regions: list[int], mark: int) -> pa.RecordBatch:
-        return _marked([None] * len(regions), [None] * len(regions), regions, [mark] * len(regions))
+        none = [None] * len(regions)
+        return _marked(none, none, regions, [mark] * len(regions), none)
 
     def _marked(*columns) -> pa.RecordBatch:
         return pa.record_batch(
-            [pa.array(c, pa.int64()) for c in columns], names=["a", "b", "region", "mark"]
+            [pa.array(c, pa.int64()) for c in columns], names=["a", "b", "region", "mark", "tree"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,10 +233,11 @@ def _neighbours(reach: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 begin = int(region[0]) if begin is None else begin
                 end = int(region[-1])
                 short = np.frombuffer(b"".join(part.column("short").to_pylist()), dtype="uint8")
-                now = region, part.column("node").to_numpy(), short.reshape(part.num_rows, -1)
+                tree = part.column("tree").to_numpy()
+                now = region, part.column("node").to_numpy(), short.reshape(part.num_rows, -1), tree
                 if kept is not None:
                     now = tuple(np.concatenate([k, n]) for k, n in zip(kept, now))
-                region, node, short = now
+                region, node, short, tree = now
                 label = np.arange(len(node))
                 alive = np.arange(len(node))
                 for step in range(1, reach + 1):
@@ -241,7 +249,7 @@ def _neighbours(reach: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                     agree = _HALVES[short[apart] ^ short[apart + step]].sum(1)
                     near = apart[agree >= AGREE]
                     useful = near[_union(label, near, near + step)] if len(near) else near
-                    yield found(node[useful], node[useful + step])
+                    yield found(node[useful], node[useful + step], tree[useful])
                 far = region[: -reach - 1][region[: -reach - 1] == region[reach + 1 :]]
                 dense = [r for r in np.unique(far).tolist() if r != last]
                 if dense:
@@ -350,10 +358,11 @@ def _loose_pairs(planted: DataFrame, loose: DataFrame, families: DataFrame) -> D
     )
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes that connect all candidates of the forest.
+def candidate_families(nodes: DataFrame) -> DataFrame:
+    """(node, family): every node with a candidate in the forest, and its family's smallest node.
 
-    ``nodes`` has node and signature.
+    ``nodes`` has node and signature. The first trees connect most of what the
+    others find again.
     """
     planted = nodes.select("node", "signature").mapInArrow(
         _plant, "tree int, order binary, node long, short binary"
@@ -361,20 +370,25 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
     scanned = write_through(
         planted.repartitionByRange("tree", "order", "node")
         .sortWithinPartitions("tree", "order", "node")
-        .mapInArrow(_neighbours(NEIGHBOURS), "a long, b long, region long, mark long")
+        .mapInArrow(_neighbours(NEIGHBOURS), "a long, b long, region long, mark long, tree long")
         .groupBy("a", "b", "region")
-        .agg(F.sum("mark").alias("mark")),
+        .agg(F.sum("mark").alias("mark"), F.min("tree").alias("tree")),
         "near-forest",
     )
-    pairs = scanned.where("a is not null").select("a", "b")
+    pairs = scanned.where("a is not null").select("a", "b", "tree")
+    first = pairs.where(F.col("tree") < FIRST_TREES).select("a", "b")
+    rest = pairs.where(F.col("tree") >= FIRST_TREES).select("a", "b")
+    families = write_through(
+        components_of_both(first, rest).withColumnRenamed("component", "family"), "near-families"
+    )
     loose = write_through(scanned.where("mark > 1").select("region"), "near-loose")
     if not loose.limit(1).count():
-        return pairs
-    families = components(pairs).select("node", F.col("component").alias("family"))
+        return families
     more = _loose_pairs(planted, loose, families)
     if more is None:
-        return pairs
-    return families.select(F.col("node").alias("a"), F.col("family").alias("b")).union(more)
+        return families
+    stars = families.select(F.col("node").alias("a"), F.col("family").alias("b"))
+    return components(stars.union(more)).withColumnRenamed("component", "family")
 
 
 class _Sets:
@@ -494,11 +508,11 @@ def _ask(members: DataFrame, asking: DataFrame) -> DataFrame:
 def _elements(docs: DataFrame, members: DataFrame, text: str, key: str) -> DataFrame:
     """Members with their sets, taken from the texts again: adds elements.
 
-    ``members`` has key, s1, s2 and more. The texts are shuffled by key, at any
-    size, since members grow with the corpus; a row that has a member's key but
-    another set is left out.
+    ``members`` has row (key and hash of a text), s1, s2 and more. The texts are
+    shuffled by both, at any size, since members grow with the corpus; so rows
+    with a null or repeated key meet the members of their own text only.
     """
-    extra = [c for c in members.columns if c not in ("key", "s1", "s2")]
+    extra = [c for c in members.columns if c not in ("row", "s1", "s2")]
     kinds = ", ".join(f"{c} {members.schema[c].dataType.simpleString()}" for c in extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -513,10 +527,11 @@ def _elements(docs: DataFrame, members: DataFrame, text: str, key: str) -> DataF
             )
             yield part.filter(pa.array(right))
 
-    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("text"))
+    mine = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("mark"))
+    rows = docs.select(mine.alias("__row"), F.col(text).alias("text"))
     return (
         rows.hint("shuffle_merge")
-        .join(members, F.col("__key").eqNullSafe(F.col("key")))
+        .join(members, F.col("__row").eqNullSafe(F.col("row")))
         .select("text", "s1", "s2", *extra)
         .mapInArrow(run, f"{kinds}, elements binary")
         .dropDuplicates(["node"])
@@ -525,7 +540,7 @@ def _elements(docs: DataFrame, members: DataFrame, text: str, key: str) -> DataF
 
 def _links(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
     """Confirmed links (a, b) between nodes that connect all linked nodes."""
-    families = components(candidate_pairs(nodes)).withColumnRenamed("component", "family")
+    families = candidate_families(nodes)
     rows = write_through(families.join(nodes.drop("signature"), "node"), "near-families")
     sizes = rows.groupBy("family").agg(
         F.greatest(
@@ -533,7 +548,7 @@ def _links(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
         ).alias("blocks")
     )
     members = rows.join(sizes, "family").select(
-        "key", "s1", "s2", "family", "blocks", "node", "n_shingles"
+        "row", "s1", "s2", "family", "blocks", "node", "n_shingles"
     )
     sets = write_through(_elements(docs, members, text, key), "near-sets")
     small = sets.where("blocks = 1")
@@ -584,6 +599,7 @@ def _judge(docs: DataFrame, text: str, key: str) -> DataFrame:
         .agg(
             F.min("uid").alias("node"),
             F.min("key").alias("key"),
+            F.min_by(F.struct("key", "mark"), "uid").alias("row"),
             F.first("signature").alias("signature"),
         ),
         "near-nodes",
