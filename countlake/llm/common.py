@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,13 +41,47 @@ def byte_sizes(column: pa.Array) -> list[int]:
 def pieces(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with at most ``limit`` bytes in ``column``, but one row at least."""
+    """Slices of the batches with at most ``limit`` bytes in ``column``, but one row at least.
+
+    A column of whole numbers gives the bytes of a row itself.
+    """
     for batch in batches:
         start = held = 0
-        for row, size in enumerate(byte_sizes(batch.column(column))):
+        sizes = batch.column(column)
+        for row, size in enumerate(
+            sizes.to_pylist() if pa.types.is_integer(sizes.type) else byte_sizes(sizes)
+        ):
             if row > start and held + size > limit:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def _release_memory() -> None:
+    """Gives memory that a Python worker has no more use for back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def releasing(
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, with its memory given back when a task begins and ends.
+
+    Workers are used again by later stages; what a task leaves behind would
+    stay until the job ends.
+    """
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release_memory()
+        try:
+            yield from run(batches)
+        finally:
+            _release_memory()
+
+    return task

@@ -32,8 +32,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countlake.llm.common import pieces
-from countlake.llm.words import Runs, Words, scramble, slices, words_of
+from countlake.llm.common import byte_sizes, pieces
+from countlake.llm.words import CHUNK, Runs, Words, scramble, slices, words_of
 from countlake.session import write_through
 
 WINDOW = 35
@@ -138,16 +138,21 @@ def _packed(rows: DataFrame) -> DataFrame:
         for batch in pieces(batches, "text"):
             held = [pack(t.encode()) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
-                [batch.column("key"), batch.column("name"), pa.array(held, pa.binary())],
-                names=["key", "name", "packed"],
+                [
+                    batch.column("key"),
+                    batch.column("name"),
+                    pa.array(held, pa.binary()),
+                    pa.array(byte_sizes(batch.column("text")), pa.int64()),
+                ],
+                names=["key", "name", "packed", "plain"],
             )
 
-    return rows.mapInArrow(run, f"key {kind}, name long, packed binary")
+    return rows.mapInArrow(run, f"key {kind}, name long, packed binary, plain long")
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
     unpack = zstandard.ZstdDecompressor().decompress
-    for batch in pieces(batches, "packed", limit=1 << 18):
+    for batch in pieces(batches, "plain", limit=CHUNK):
         texts = pa.array([unpack(p) for p in batch.column("packed").to_pylist()], pa.large_binary())
         yield batch, words_of(texts.cast(pa.large_string()))
 
@@ -208,7 +213,7 @@ def _spans(
 
     windows = write_through(
         packed.join(edges, "name")
-        .select("name", "packed", "edges")
+        .select("name", "packed", "plain", "edges")
         .mapInArrow(compare, "anchor long, words long, name long, start int, single boolean"),
         "substring-windows",
     )
@@ -284,7 +289,7 @@ def remove_repeats(
 
     return (
         packed.join(spans, "name", "left")
-        .select("key", "packed", "spans")
+        .select("key", "packed", "plain", "spans")
         .mapInArrow(
             cut,
             f"key {kind}, n_words long, n_removed long, kept string, "

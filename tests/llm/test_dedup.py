@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from countlake.llm import exact_dedup, near_dedup, substring_dedup
-from countlake.llm.components import components
+from countlake.llm.components import components, components_of_both
 from countlake.llm.words import Runs, words_of
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -80,6 +80,38 @@ def test_repeated_windows_go_wherever_they_are(documents, prose, odd_texts):
         assert covered == row.n_removed
 
 
+def thue_morse(letters, size=1024):
+    return "".join(letters[bin(i).count("1") & 1] for i in range(size))
+
+
+def test_words_that_polynomials_confuse_are_told_apart(documents, prose):
+    a, b = thue_morse("ab"), thue_morse("ba")
+    hashes = words_of(pa.array([f"{a} {b} {a}"])).hashes()
+    assert hashes[0] == hashes[2] != hashes[1]
+    before, after = prose(70, 20), prose(71, 19)
+    texts = [f"{before} {a} {after}", f"{before} {b} {after}"]
+    got = substring_dedup.remove_repeats(documents(texts)).collect()
+    assert [r.n_removed for r in got] == [0, 0]
+    shingles = [near_dedup.shingle_sets(words_of(pa.array([t])))[0] for t in texts]
+    assert len(np.intersect1d(*shingles)) == 31
+
+
+def test_hashes_do_not_depend_on_what_is_around(prose):
+    texts = [prose(i, 300) + " " + "y" * i * 7 for i in range(12)] + ["x" * 3_000_000, "X" * 2_999_999 + "x"]
+    together = words_of(pa.array(texts))
+    for lower in (False, True):
+        alone = [words_of(pa.array([t])).hashes(lower) for t in texts]
+        assert (together.hashes(lower) == np.concatenate(alone)).all()
+    assert together.hashes(True)[-1] == together.hashes(True)[-2]
+    assert together.hashes()[-1] != together.hashes()[-2]
+
+
+def test_texts_that_pack_a_thousandfold(documents):
+    texts = ["aaaa " * 20_000] * 30
+    got = substring_dedup.remove_repeats(documents(texts)).collect()
+    assert {(r.n_words, r.n_removed, r.kept) for r in got} == {(20_000, 20_000, "")}
+
+
 def test_rows_repeated_whole_are_copies(documents, prose):
     frame = documents([prose(5, 50), "short", prose(6, 50)], ids=[1, None, None])
     got = substring_dedup.remove_repeats(frame.union(frame.limit(3))).collect()
@@ -228,11 +260,32 @@ def test_every_two_rows_of_a_region_meet(spark, monkeypatch):
         values[:, near_dedup.LEAST_DEPTH] = rng.permutation(near_dedup.TREES) + 100 * node
         rows.append((node, values.astype(">u2").tobytes()))
     nodes = spark.createDataFrame(rows, "node long, signature binary")
-    found = components(near_dedup.candidate_pairs(nodes)).collect()
-    together = {r.node: r.component for r in found}
+    found = near_dedup.candidate_families(nodes).collect()
+    together = {r.node: r.family for r in found}
     assert all(together.get(i) == together.get(i + 50, -1) for i in range(50))
 
 
+def test_many_null_keys_cost_what_others_do(documents, prose):
+    texts = [prose(i // 2, 30) + f" end{i % 2}" for i in range(600)]
+    frame = documents(texts, ids=[None] * 600)
+    got = near_dedup.near_duplicates(frame).collect()
+    assert len(got) == 600 and all(r.component_id is None for r in got)
+    kept = near_dedup.keep_first(frame).count()
+    assert kept == 300
+
+
+def test_components_of_both_equal_those_of_all(spark):
+    rng = np.random.default_rng(3)
+    schema = "a long, b long"
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))]
+    first, rest = (spark.createDataFrame(p, schema) for p in (pairs[:100], pairs[100:]))
+    expected = sorted(map(tuple, components(spark.createDataFrame(pairs, schema)).collect()))
+    assert sorted(map(tuple, components_of_both(first, rest).collect())) == expected
+    none = spark.createDataFrame([], schema)
+    assert sorted(map(tuple, components_of_both(none, spark.createDataFrame(pairs, schema)).collect())) == expected
+    assert components_of_both(none, none).collect() == []
+
+
 def test_null_and_repeated_keys(documents, prose):
     text = prose(42, 60)
     frame = documents([text, text, text, "alone here", None], ids=[None, 7, 7, None, None])
