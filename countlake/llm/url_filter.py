@@ -3,8 +3,9 @@
 Urls that a rule decides are the labelled urls. The trees learn from them and
 judge the urls that no rule fits. Features: lengths, depth, digit ratio,
 entropy of the characters, parameter counts, marks, and suffix statistics (how
-often the labelled hosts under the last one and last two labels are blocked,
-smoothed). Everything is DataFrame functions and MLlib's tree learner; rows of
+often the labelled urls under the last one and last two labels are blocked,
+smoothed, more so where one rule made all their labels; a url the trees learn
+from does not count its own label). Everything is DataFrame functions and MLlib's tree learner; rows of
 pages are not shuffled unless the suffix table outgrows a broadcast, in which
 case adaptive execution splits hot suffixes.
 """
@@ -26,11 +27,14 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Labelled rows the trees learn from, about; chosen by a hash of the url.
+#: Distinct labelled urls the trees learn from, about, half of them of each label where there
+#: are as many; chosen by a hash, and weighed by the rows they stand for.
 TRAIN_ROWS = 20_000
 TREES, DEPTH = 15, 4
 #: Labelled urls that a suffix counts as having besides its own, at the overall rate.
 PRIOR = 20.0
+#: The same where one rule made all labels of the suffix: they say little about others.
+ONE_RULE_PRIOR = 500.0
 SEED = 11
 
 _PARTS = r"://([^/?#]*)([^?#]*)"
@@ -157,20 +161,50 @@ def judge(
     rate = seen.b / seen.n
     full = rows
     for name in ("last", "last_two"):
+        few = F.min("ruled.rule") == F.max("ruled.rule")
         stats = known.groupBy(name).agg(
-            ((F.sum(blocked) + PRIOR * rate) / (F.count(F.lit(1)) + PRIOR)).alias(f"f_{name}")
+            F.sum(blocked).alias(f"b_{name}"),
+            F.count(F.lit(1)).cast("double").alias(f"n_{name}"),
+            F.when(few, ONE_RULE_PRIOR).otherwise(PRIOR).alias(f"p_{name}"),
+        )
+        full = full.join(stats, name, "left").fillna(
+            {f"b_{name}": 0.0, f"n_{name}": 0.0, f"p_{name}": PRIOR}
         )
-        full = full.join(stats, name, "left").fillna(rate, [f"f_{name}"])
-    names = [*found, "f_last", "f_last_two"]
     full = write_through(full, "url-suffixes")
-    share = min(1.0, train_rows / seen.n)
-    sample = full.where(
-        F.col("ruled").isNotNull()
-        & (F.pmod(F.col("url_hash"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
-    ).withColumn("label", blocked)
+
+    def suffix_rates(own: Column) -> list[Column]:
+        """Rates of both suffixes, less ``own`` rows of the url itself."""
+        return [
+            (
+                (F.col(f"b_{x}") - own * F.coalesce(blocked, F.lit(0.0)) + F.col(f"p_{x}") * rate)
+                / (F.col(f"n_{x}") - own + F.col(f"p_{x}"))
+            ).alias(f"f_{x}")
+            for x in ("last", "last_two")
+        ]
+
+    names = [*found, "f_last", "f_last_two"]
+    urls = write_through(
+        full.where("ruled is not null").groupBy("url_hash", blocked.alias("label")).agg(
+            F.count(F.lit(1)).cast("double").alias("own"),
+            F.first(F.struct(*[c for c in full.columns if c != "url_hash"])).alias("row"),
+        ),
+        "url-labelled",
+    )
+    counts = {r.label: r["count"] for r in urls.groupBy("label").count().collect()}
+    share = F.lit(0.0)
+    for label, n in counts.items():
+        share = F.when(F.col("label") == label, min(1.0, train_rows / len(counts) / n)).otherwise(share)
+    spread = F.pmod(F.col("url_hash"), F.lit(1 << 40))
+    sample = (
+        urls.withColumn("share", share)
+        .where(spread < F.col("share") * F.lit(float(1 << 40)))
+        .select("label", "own", (F.col("own") / F.col("share")).alias("weight"), "row.*")
+        .select("label", "weight", *found, *suffix_rates(F.col("own")))
+    )
+    full = full.select("*", *suffix_rates(F.lit(0.0)))
     pack = VectorAssembler(inputCols=names, outputCol="features")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed).fit(
-        pack.transform(sample).select("features", "label")
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed, weightCol="weight").fit(
+        pack.transform(sample).select("features", "label", "weight")
     )
     score = vector_to_array(F.col("probability"))[1]
     return (

@@ -152,3 +152,26 @@ def test_the_filter_runs_no_python(pages):
     found = url_filter.judge(pages([(i, f"http://a.{'net' if i % 2 else 'org'}/fr/{i}", "") for i in range(30)]))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("urls", [["http://a.net/x", "http://b.org/fr/y"], ["http://a.net/x"] * 2])
+def test_few_urls_in_very_many_rows(spark, urls):
+    pages = spark.range(20_000).select(
+        F.col("id").alias("page_id"),
+        F.when(F.col("id") % 100 == 0, F.lit("http://c.com/z"))
+        .when(F.col("id") % 2 == 0, F.lit(urls[0]))
+        .otherwise(F.lit(urls[1]))
+        .alias("url"),
+    )
+    judged = url_filter.judge(pages, train_rows=500, trees=2)
+    found = {(r.host, r.rule): r["count"] for r in judged.groupBy("host", "rule").count().collect()}
+    assert sum(found.values()) == 20_000 and found["c.com", None] == 200
+
+
+def test_a_suffix_that_one_rule_labels_does_not_decide(spark):
+    rows = [f"http://x{i}.net/a" for i in range(200)] + [f"http://y{i}.org/fr/" for i in range(200)]
+    rows += [f"http://example.com/de/{i}" for i in range(300)] + [f"http://shop{i}.com/fr/" for i in range(40)]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    judged = url_filter.judge(pages, trees=5).where("rule is null")
+    verdicts = [r.verdict for r in judged.collect()]
+    assert len(verdicts) == 40 and verdicts.count("allow") > 20
