@@ -461,8 +461,8 @@ def draw(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs`` with all columns, as often as they are taken.
 
     Rows are spread by shard, then in hash order within a shard. Options are
-    those of :func:`mix`; among equal rows of one key it does not matter which
-    is which.
+    those of :func:`mix`. Rows with one key, source, size and text are copies
+    of each other to the mix; each of them is drawn with its own other columns.
     """
     text, key, source = (
         options.get(k, d) for k, d in (("text", "text"), ("key", "doc_id"), ("source", "source"))
@@ -470,19 +470,39 @@ def draw(docs: DataFrame, **options) -> DataFrame:
     def same(id: Column, source: Column, size: Column) -> Column:
         return F.xxhash64(id.isNull(), id, source.isNull(), source, size)
 
+    alike = ["__same", "__text_hash"]
     placed = mix(docs, **options).select(
         same(F.col("id"), F.col("source"), F.col("size")).alias("__same"),
         F.col("text_hash").alias("__text_hash"),
+        F.col("copy").alias("__copy"),
         "order_key",
         F.explode("placements").alias("place"),
     )
-    packed = docs.select(
+    others = F.struct(
+        F.col(text).isNull().alias("__null"), *[F.col(f"`{c}`") for c in docs.columns if c != text]
+    )
+    rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
         same(F.col(key), F.col(source), word_count(F.col(text))).alias("__same"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__text_hash"),
-    ).dropDuplicates(["__same", "__text_hash"])
+        F.xxhash64(F.to_json(others, {"ignoreNullFields": "false"})).alias("__kind"),
+    )
+    packed = rows.dropDuplicates([*alike, "__kind"])
+    # Rows equal in all columns take as many of the mix's copies as they are.
+    before = Window.partitionBy(*alike).orderBy("__kind").rowsBetween(Window.unboundedPreceding, -1)
+    numbers = (
+        rows.groupBy(*alike, "__kind")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0).cast("long")))
+        .select(
+            *alike,
+            "__kind",
+            F.explode(F.sequence(F.col("__before") + 1, F.col("__before") + F.col("__n"))).alias("__copy"),
+        )
+    )
+    taken = placed.join(numbers, [*alike, "__copy"]).select(*alike, "__kind", "order_key", "place")
     return (
-        packed.join(placed, ["__same", "__text_hash"])
+        packed.join(taken, [*alike, "__kind"])
         .select("__row", "order_key", "place")
         .withColumn("order_key", F.xxhash64("order_key", "place.pass"))
         .repartition("place.shard", F.pmod("order_key", F.lit(SLICES)))

@@ -118,3 +118,13 @@ def test_quotas_are_split_without_rest(spark):
         assert {k: by_source[k] for k in quotas} == quotas
         assert len(by_shard) == shards
         assert max(by_shard.values()) - min(by_shard.values()) <= 4
+
+
+def test_drawn_rows_keep_their_own_columns(spark):
+    rows = [(1, "a b c", "s", i % 5, None) for i in range(10)]
+    rows += [(2, None, "s", 1, 1), (2, "", "s", 1, 1), (2, "", "s", 1, 2), (None, "x y", None, 7, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang int, extra int")
+    drawn = [tuple(r) for r in mixing.draw(docs, epochs=1.0, max_repeats=1).collect()]
+    assert sorted(drawn, key=str) == sorted(rows, key=str)
+    twice = [tuple(r) for r in mixing.draw(docs, epochs=2.0).collect()]
+    assert sorted(twice, key=str) == sorted(rows * 2, key=str)
