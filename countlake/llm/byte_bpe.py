@@ -29,10 +29,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countlake.llm.common import pieces
+from countlake.llm.common import pieces, releasing
 
-#: Parts remembered by a Python worker from its last texts, and as many from those before.
-REMEMBERED = 250_000
+#: Parts remembered by a Python worker from its last texts, and as many from those before:
+#: about 200 bytes each.
+REMEMBERED = 80_000
+#: Pairs of tokens whose compatibility is remembered, about 130 bytes each.
+REMEMBERED_PAIRS = 200_000
 #: Longer parts are encoded each time.
 REMEMBERED_CHARS = 48
 
@@ -52,7 +55,7 @@ class ByteCoder(dict):
         self.split: dict[int, tuple[int, int]] = {}
         self.joined: dict[tuple[int, int], int] = {}
         self.shorter: dict[int, int] = {}
-        self.known_pairs: dict[tuple[int, int], bool] = {}
+        self.known_pairs: dict[int, bool] = {}
         self.old: dict[str, bytes] = {}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
         for token, rank in self.ranks.items():
@@ -89,10 +92,10 @@ class ByteCoder(dict):
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the tokens can stand side by side in an encoded part."""
-        pair = (left, right)
+        pair = left << 32 | right
         found = self.known_pairs.get(pair)
         if found is None:
-            if len(self.known_pairs) > 4 * REMEMBERED:
+            if len(self.known_pairs) >= REMEMBERED_PAIRS:
                 self.known_pairs.clear()
             found = self.known_pairs[pair] = self._compatible(left, right)
         return found
@@ -160,6 +163,12 @@ class ByteCoder(dict):
         """Ids of the text as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.__getitem__, self.cut(text)))
 
+    def forget(self) -> None:
+        """Drops what is remembered of texts."""
+        self.clear()
+        self.old = {}
+        self.known_pairs = {}
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
@@ -195,11 +204,12 @@ def encode(
                 [batch.column("key"), pa.ListArray.from_arrays(pa.array(ends), values)],
                 names=["key", "ids"],
             )
+        coder.forget()  # the worker goes on to other stages
 
     kind = docs.schema[key].dataType.simpleString()
     return (
         docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-        .mapInArrow(run, f"key {kind}, ids array<int>")
+        .mapInArrow(releasing(run), f"key {kind}, ids array<int>")
         .withColumnRenamed("key", key)
     )
 
@@ -224,7 +234,7 @@ def decode(
     kind = tokens.schema[key].dataType.simpleString()
     return (
         tokens.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
-        .mapInArrow(run, f"key {kind}, content binary")
+        .mapInArrow(releasing(run), f"key {kind}, content binary")
         .withColumnRenamed("key", key)
     )
 
@@ -261,6 +271,6 @@ def round_trip(
     columns = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return (
         docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-        .mapInArrow(run, columns)
+        .mapInArrow(releasing(run), columns)
         .withColumnRenamed("key", key)
     )

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from countlake.llm.common import releasing
 from countlake.session import write_through
 
 
@@ -81,10 +82,10 @@ def components(edges: DataFrame) -> DataFrame:
         if marks == state or marks[0] == 0:
             break
         if marks[0] < TOGETHER:
-            edges = write_through(edges.coalesce(1).mapInArrow(_join_up, "a long, b long"), "components")
+            edges = write_through(edges.coalesce(1).mapInArrow(releasing(_join_up), "a long, b long"), "components")
             break
         state = marks
-        edges = write_through(_link(edges.mapInArrow(_join_up, "a long, b long")), "components")
+        edges = write_through(_link(edges.mapInArrow(releasing(_join_up), "a long, b long")), "components")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from countlake.llm.components import components, components_of_both
+from countlake.llm.common import releasing
 from countlake.llm.words import Runs, Words, scramble, slices
 from countlake.session import write_through
 
@@ -133,7 +134,7 @@ def _sign(docs: DataFrame, text: str, key: str) -> DataFrame:
 
     return (
         docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-        .mapInArrow(run, f"key {kind}, mark long, n_shingles long, s1 long, s2 long, signature binary")
+        .mapInArrow(releasing(run), f"key {kind}, mark long, n_shingles long, s1 long, s2 long, signature binary")
         .withColumn("uid", F.monotonically_increasing_id())
     )
 
@@ -314,7 +315,7 @@ def _loose_pairs(planted: DataFrame, loose: DataFrame, families: DataFrame) -> D
                     names=["region", "node", "short"],
                 )
 
-    dense = planted.mapInArrow(run, kind).join(loose, "region", "left_semi")
+    dense = planted.mapInArrow(releasing(run), kind).join(loose, "region", "left_semi")
     rows = write_through(
         dense.join(families, "node", "left").select(
             "region", "node", "short", F.coalesce("family", "node").alias("family")
@@ -365,12 +366,12 @@ def candidate_families(nodes: DataFrame) -> DataFrame:
     others find again.
     """
     planted = nodes.select("node", "signature").mapInArrow(
-        _plant, "tree int, order binary, node long, short binary"
+        releasing(_plant), "tree int, order binary, node long, short binary"
     )
     scanned = write_through(
         planted.repartitionByRange("tree", "order", "node")
         .sortWithinPartitions("tree", "order", "node")
-        .mapInArrow(_neighbours(NEIGHBOURS), "a long, b long, region long, mark long, tree long")
+        .mapInArrow(releasing(_neighbours(NEIGHBOURS)), "a long, b long, region long, mark long, tree long")
         .groupBy("a", "b", "region")
         .agg(F.sum("mark").alias("mark"), F.min("tree").alias("tree")),
         "near-forest",
@@ -533,7 +534,7 @@ def _elements(docs: DataFrame, members: DataFrame, text: str, key: str) -> DataF
         rows.hint("shuffle_merge")
         .join(members, F.col("__row").eqNullSafe(F.col("row")))
         .select("text", "s1", "s2", *extra)
-        .mapInArrow(run, f"{kinds}, elements binary")
+        .mapInArrow(releasing(run), f"{kinds}, elements binary")
         .dropDuplicates(["node"])
     )
 
@@ -670,7 +671,7 @@ def _named(docs: DataFrame, text: str, key: str) -> DataFrame:
                 names=["__row", "key", "n_shingles", "s1", "s2"],
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(releasing(run), schema)
 
 
 def keep_first(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from countlake.llm.common import releasing
 from countlake.llm.words import Words, slices
 
 #: Words of a passage.
@@ -224,8 +225,8 @@ def train(
     """Fits a model on about ``train_docs`` labelled documents outside the held-out fold.
 
     They are chosen by a hash of the id; texts over ``train_bytes`` bytes are
-    not learned from. Several labels of one id count as their mean, null labels
-    as none. Without labels the model is the untrained one.
+    not learned from, and repeated rows count once. Several labels of one id count
+    as their mean, null labels as none. Without labels the model is the untrained one.
     """
     known = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
@@ -252,7 +253,10 @@ def train(
         docs.where(short)
         .select(F.col(key).alias("key"), F.col(text).alias("text"))
         .join(F.broadcast(chosen), "key")
-        .mapInArrow(bag, f"key {kind}, label double, bag binary")
+        .withColumn("hash", F.xxhash64("text"))
+        .dropDuplicates(["key", "hash"])  # copies of a document teach once
+        .select("key", "text", "label")
+        .mapInArrow(releasing(bag), f"key {kind}, label double, bag binary")
         .toArrow()
         .sort_by([("key", "ascending"), ("bag", "ascending")])
     )
@@ -280,7 +284,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", key: str = "doc_
         docs.select(
             F.col(key).alias("key"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("text")
         )
-        .mapInArrow(run, f"key {kind}, held_out boolean, score double")
+        .mapInArrow(releasing(run), f"key {kind}, held_out boolean, score double")
         .withColumnRenamed("key", key)
     )
 
@@ -299,4 +303,4 @@ def keep_good(
                 kept = part.filter(pa.array(model.score(*passages(words)) >= good))
                 yield pa.RecordBatch.from_arrays(kept.columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
