@@ -7,9 +7,12 @@ runs once per distinct unknown name, never per reading.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from countlake.functions.parsing import standard_name
 from countlake.session import path_is_missing, write_through
@@ -24,8 +27,10 @@ INDEXED_DISTANCE = 2
 
 # Beyond those, such names go down the prefixes of the entries: about so many below each.
 FANOUT = 32
-# Beginnings of a name that a prefix is first compared with: this much shorter or longer.
-NEAR_ENDS = 8
+# Names that one task takes down the prefixes, while tasks are fewer than shuffle partitions.
+TASK_NAMES = 500
+# Keys that a task makes at a time.
+KEYS_TOGETHER = 1 << 18
 
 
 def dictionary_entries(dictionary: DataFrame) -> DataFrame:
@@ -58,40 +63,91 @@ def _match_in_array(names: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
-def _one_removed(text: Column) -> Column:
-    places = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(
-        places, lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text)))
-    )
-
-
-def _removal_keys(text: Column) -> Column:
-    """Hashes of the text with up to two characters removed.
-
-    Two texts within two edits of each other share at least one key.
+def _code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the texts, and a table of their characters with one column per text."""
+    strings = [t.decode("utf-8", "surrogateescape") for t in texts.to_pylist()]
+    sizes = np.array([len(s) for s in strings], dtype=np.int64)
+    codes = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    if codes.size and codes.max() < 256:
+        codes = codes.astype(np.uint8)
+    table = np.zeros((len(strings), sizes.max(initial=0)), dtype=codes.dtype)
+    table[np.arange(table.shape[1]) < sizes[:, None]] = codes
+    return sizes, np.ascontiguousarray(table.T)
+
+
+def _hashes_without(codes: np.ndarray, removed: int) -> np.ndarray:
+    """Hashes of texts of one length (a row of characters each) with up to so many characters removed."""
+    count, size = codes.shape
+    mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    power = np.full(size + 1, 0xD6E8FEB86659FD93, dtype=np.uint64)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    begun = np.zeros((count, size + 1), dtype=np.uint64)  # of the first 0, 1, 2... characters
+    for i in range(size):
+        begun[:, i + 1] = begun[:, i] * power[1] + mixed[:, i]
+
+    def between(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return begun[:, stop] - begun[:, start] * power[stop - start]
+
+    # The length takes part, so that no text is like one with a character less.
+    found = [begun[:, [size]]]
+    if size:
+        i = np.arange(size)
+        found.append(begun[:, i] * power[size - 1 - i] + between(i + 1, np.full(size, size)))
+    if removed > 1 and size > 1:
+        i, j = np.triu_indices(size, 1)
+        kept = begun[:, i] * power[size - 2 - i] + between(i + 1, j) * power[size - 1 - j]
+        found.append(kept + between(j + 1, np.full(len(j), size)))
+    return np.concatenate([f + np.uint64(size - less) for less, f in enumerate(found)], axis=1)
+
+
+def _removal_keys(text: Column, removed: int) -> Column:
+    """Hashes of the text with up to ``removed`` characters removed.
+
+    Two texts within so many edits of each other share at least one key.
     """
-    once = F.array_distinct(_one_removed(text))
-    twice = F.flatten(F.transform(once, _one_removed))
-    keys = F.concat(F.array(text), once, twice)
-    return F.array_distinct(F.transform(keys, lambda k: F.xxhash64(k)))
-
 
-def _match_by_keys(names: DataFrame, entries: DataFrame) -> DataFrame:
-    """Best entry within two edits, by an equi-join on removal keys."""
+    def keys(texts: pa.Array) -> pa.Array:
+        sizes, table = _code_points(texts)
+        counts, parts, places = np.zeros(len(sizes), dtype=np.int64), [], []
+        for size in np.unique(sizes):
+            rows = np.flatnonzero(sizes == size)
+            together = max(1, KEYS_TOGETHER // (1 + int(size) ** removed))
+            for at in range(0, len(rows), together):
+                some = rows[at : at + together]
+                found = np.sort(_hashes_without(table[:size, some].T, removed), axis=1)
+                new = np.ones(found.shape, dtype=bool)
+                new[:, 1:] = found[:, 1:] != found[:, :-1]
+                counts[some] = new.sum(axis=1)
+                parts.append(found[new])
+                places.append(some)
+        # The parts go back to the order of their texts.
+        order = np.concatenate(places) if places else np.zeros(0, dtype=np.int64)
+        start = np.zeros(len(sizes), dtype=np.int64)
+        start[order] = np.cumsum(counts[order]) - counts[order]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        move = np.repeat(start - ends[:-1], counts) + np.arange(ends[-1])
+        values = (np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64))[move]
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view(np.int64)))
+
+    return F.arrow_udf(keys, ArrayType(LongType()))(text.cast("binary"))
+
+
+def _match_by_keys(names: DataFrame, entries: DataFrame, distance: int) -> DataFrame:
+    """Best entry within ``distance`` edits, by an equi-join on removal keys."""
     keyed_names = names.filter(F.length("agency_name") <= INDEXED_LENGTH).select(
-        "agency_name", F.explode(_removal_keys(F.col("agency_name"))).alias("key")
+        "agency_name", F.explode(_removal_keys(F.col("agency_name"), distance)).alias("key")
     )
     keyed_entries = entries.filter(F.length("entry") <= INDEXED_LENGTH + INDEXED_DISTANCE).select(
-        "entry", F.explode(_removal_keys(F.col("entry"))).alias("key")
+        "entry", F.explode(_removal_keys(F.col("entry"), distance)).alias("key")
     )
     # The keys of a text are many times its size, which the optimizer can't see:
     # both sides are shuffled, never broadcast.
     return (
         keyed_names.hint("shuffle_merge").join(keyed_entries, "key")
         .select("agency_name", _scored(F.col("entry")).alias("best"))
-        .filter(F.col("best.distance") <= INDEXED_DISTANCE)
+        .filter(F.col("best.distance") <= distance)
         .groupBy("agency_name")
         .agg(F.min("best").alias("best"))
     )
@@ -127,14 +183,16 @@ def _match_by_chunks(names: DataFrame, entries: DataFrame, chunk_count: int) ->
 
 def _cut_depths(entries: DataFrame) -> list[int]:
     """Lengths at which entries are cut to prefixes, so that a prefix has about FANOUT longer ones."""
+    longest = entries.agg(F.max(F.length("entry")).alias("n")).first().n or 1
+    last = max(1, min(longest, INDEXED_LENGTH))
     counts = entries.agg(
-        *[F.approx_count_distinct(F.substring("entry", 1, d)).alias(str(d)) for d in range(1, INDEXED_LENGTH + 1)],
+        *[F.approx_count_distinct(F.substring("entry", 1, d)).alias(str(d)) for d in range(1, last + 1)],
         F.approx_count_distinct("entry").alias("all"),
     ).first()
     depths, held = [], 1
-    while not depths or (depths[-1] < INDEXED_LENGTH and held * FANOUT < counts["all"]):
+    while not depths or (depths[-1] < last and held * FANOUT < counts["all"]):
         depth = depths[-1] + 1 if depths else 1
-        while depth < INDEXED_LENGTH and counts[str(depth + 1)] <= held * FANOUT:
+        while depth < last and counts[str(depth + 1)] <= held * FANOUT:
             depth += 1
         depths.append(depth)
         held = max(counts[str(depth)], 1)
@@ -158,24 +216,46 @@ def _prefix_levels(entries: DataFrame, depths: list[int]) -> list[DataFrame]:
     return [*levels, leaves]
 
 
-def _least_distance(reach: Column, rest_counts: bool = True) -> Column:
+def _distances_of_beginnings(name: np.ndarray, prefix: np.ndarray, depth: np.ndarray) -> np.ndarray:
+    """Levenshtein distances to each prefix from the first 0, 1, 2... characters of its name."""
+    held = np.repeat(np.arange(len(name) + 1, dtype=np.int16)[:, None], name.shape[1], axis=1)
+    found = held.copy()
+    for i, letter in enumerate(prefix, 1):
+        row = np.empty_like(held)
+        row[0] = i
+        np.minimum(held[:-1] + (name != letter), held[1:] + 1, out=row[1:])
+        for before, after in zip(row, row[1:]):
+            np.minimum(after, before + 1, out=after)
+        held = row
+        if (ended := depth == i).any():
+            found = np.where(ended, held, found)
+    return found
+
+
+@F.arrow_udf(StructType([StructField("bound", IntegerType()), StructField("own", IntegerType())]))
+def _least_distances(names: pa.Array, prefixes: pa.Array, low: pa.Array, high: pa.Array) -> pa.Array:
     """A bound on the distance from the name to every entry with the prefix.
 
-    Some beginning of the name is turned into the prefix, and the rest of it
-    differs from what follows at least by its length, if ``rest_counts``.
-    Beginnings that differ from the prefix in length by more than ``reach`` are
-    left out.
+    Some beginning of the name is turned into the prefix (``own`` is the least
+    distance of any), and the rest of it differs from what follows at least by
+    its length. All pairs of a batch are compared at once.
     """
-    name, prefix = F.col("agency_name"), F.col("prefix")
-    size, depth = F.length(name), F.length(prefix)
-
-    def cost(k: Column) -> Column:
-        rest = size - k
-        own = F.levenshtein(F.substring(name, F.lit(1), k), prefix)
-        return own + F.greatest(F.col("low") - rest, rest - F.col("high"), F.lit(0)) if rest_counts else own
-
-    ends = F.sequence(F.greatest(depth - reach, F.lit(0)), F.least(size, depth + reach))
-    return F.when(size >= depth - reach, F.array_min(F.transform(ends, cost)))
+    size, name = _code_points(names)
+    depth, prefix = _code_points(prefixes)
+    own = _distances_of_beginnings(name, prefix, depth).astype(np.int32)
+    rest = size - np.arange(len(own))[:, None]
+    own[rest < 0] = 1 << 20
+    follows = np.maximum(low.to_numpy() - rest, rest - high.to_numpy()).clip(0)
+    bound = (own + follows).min(axis=0).astype(np.int32)
+    return pa.StructArray.from_arrays([pa.array(bound), pa.array(own.min(axis=0))], ["bound", "own"])
+
+
+def _bounded(held: DataFrame) -> DataFrame:
+    """Adds the least distances of the names to what lies below the prefixes they hold."""
+    least = _least_distances(
+        F.col("agency_name").cast("binary"), F.col("prefix").cast("binary"), F.col("low"), F.col("high")
+    )
+    return held.withColumn("least", least)
 
 
 def _below(held: DataFrame, level: DataFrame) -> DataFrame:
@@ -187,40 +267,46 @@ def _match_by_prefixes(names: DataFrame, entries: DataFrame) -> DataFrame:
     """Exact best entry by branch and bound over prefixes of the entries.
 
     First each name goes down to the most promising prefix of every level; the
-    entry it ends at gives the distance to beat. Then all prefixes whose bound
-    does not exceed it are followed, so the best entry and its ties are met.
-    Levels are equi-joins on the prefix before. What is compared grows with the
-    prefixes near a name, not with the entries.
+    entry it ends at is the one to beat. Then all prefixes that can hold a
+    nearer entry are followed, or one as near that comes earlier by name, so the
+    best entry is met. Levels are equi-joins on the prefix before. What is
+    compared grows with the prefixes near a name, not with the entries.
     """
     *levels, leaves = _prefix_levels(entries, _cut_depths(entries))
     roots = levels[0].agg(F.collect_list(F.struct("prefix", "low", "high")).alias("roots")).scalar()
-    rooted = names.select("agency_name", F.explode(roots).alias("root"))
+    # What is held is small and what is compared is not, so the sizes of files and
+    # shuffles don't tell how many tasks a level is worth.
+    most = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(most, -(-names.count() // TASK_NAMES)))
 
-    def best(held: DataFrame, *by: Column) -> DataFrame:
-        ranks = [F.coalesce(c, F.lit(1 << 30)).alias(f"by_{i}") for i, c in enumerate(by)]
-        least = F.min(F.struct(*ranks, "prefix"))
-        return held.groupBy("agency_name").agg(least.alias("best")).select("agency_name", "best.*")
+    def spread(held: DataFrame) -> DataFrame:
+        return write_through(held.repartition(tasks), "held")
 
-    near = F.lit(NEAR_ENDS)
-    promise = _least_distance(near), _least_distance(near, rest_counts=False)
-    held = best(rooted.select("agency_name", "root.*"), *promise)
-    for level in levels[1:]:
-        held = best(_below(held.select("agency_name", "prefix"), level), *promise)
-    distance = F.levenshtein("agency_name", "prefix")
-    ended = best(_below(held.select("agency_name", "prefix"), leaves), distance)
-    beat = write_through(ended.select("agency_name", F.col("by_0").alias("beat")), "distances")
+    def rooted(held: DataFrame) -> DataFrame:
+        return held.withColumn("root", F.explode(roots)).select(*held.columns, "root.*")
+
+    def promising(held: DataFrame) -> DataFrame:
+        least = F.min(F.struct("least.bound", "least.own", "prefix"))
+        first = _bounded(held).groupBy("agency_name").agg(least.alias("first"))
+        return spread(first.select("agency_name", "first.prefix"))
+
+    def best(held: DataFrame) -> DataFrame:
+        whole = _bounded(_below(held, leaves).withColumns({"low": F.lit(0), "high": F.lit(0)}))
+        scored = F.struct(F.col("least.bound").alias("distance"), F.col("prefix").alias("closest_match"))
+        return whole.groupBy("agency_name").agg(F.min(scored).alias("best"))
 
     def possible(held: DataFrame) -> DataFrame:
-        bound = _least_distance(F.col("beat"))
-        return held.filter(bound <= F.col("beat")).select("agency_name", "beat", "prefix")
+        bound, beat = F.col("least.bound"), F.col("beat.distance")
+        better = (bound < beat) | ((bound == beat) & (F.col("prefix") <= F.col("beat.closest_match")))
+        return spread(_bounded(held).filter(better).select("agency_name", "beat", "prefix"))
 
-    held = possible(rooted.join(beat, "agency_name").select("agency_name", "beat", "root.*"))
+    held = promising(rooted(spread(names)))
+    for level in levels[1:]:
+        held = promising(_below(held, level))
+    held = possible(rooted(spread(best(held).withColumnRenamed("best", "beat"))))
     for level in levels[1:]:
         held = possible(_below(held, level))
-    compared = _below(held, leaves).select(
-        "agency_name", F.levenshtein("agency_name", "prefix").alias("distance"), F.col("prefix").alias("closest_match")
-    )
-    return compared.groupBy("agency_name").agg(F.min(F.struct("distance", "closest_match")).alias("best"))
+    return best(held)
 
 
 def closest_match(
@@ -243,10 +329,13 @@ def closest_match(
     else:
         entries = write_through(entries, "entries")
         names = write_through(names, "names")
-        near = write_through(_match_by_keys(names, entries), "near")
-        far = write_through(names.join(near, "agency_name", "left_anti"), "far-names")
+        # The texts that a name shares grow with the square of the edits: one edit comes first.
+        far, found = names, None
+        for distance in range(1, INDEXED_DISTANCE + 1):
+            near = write_through(_match_by_keys(far, entries, distance), "near")
+            found = found.unionByName(near) if found else near
+            far = write_through(far.join(near, "agency_name", "left_anti"), "far-names")
         is_long = F.length("agency_name") > INDEXED_LENGTH
-        found = near
         if max_distance is None or max_distance > INDEXED_DISTANCE:
             found = found.unionByName(_match_by_prefixes(far.filter(~is_long), entries))
         if not (long_names := far.filter(is_long)).isEmpty():

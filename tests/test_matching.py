@@ -1,4 +1,7 @@
 import random
+from itertools import combinations
+
+from pyspark.sql import functions as F
 
 from countlake.operators import matching
 from countlake.plans.catalog import closest_match_large
@@ -134,3 +137,51 @@ def test_names_of_any_shape_get_the_nearest_entry(spark):
     names += ["ééé", "x" * 64, "xab" * 20, "中文中文中文", "ba" * 31, "_________"]
     got = matched(matching.closest_match(names_df(spark, names), names_df(spark, entries), array_entries=5))
     assert got == {n: best(n, entries) for n in names}
+
+
+def test_least_distances_equal_brute_force(spark):
+    rng = random.Random(5)
+    rows = [("", "", 0, 0), ("é" * 9, "中é", 1, 4), ("a" * 64, "ab", 0, 70), ("a\0", "a", 0, 0)]
+    for _ in range(60):
+        low = rng.randint(0, 4)
+        name, prefix = ("".join(rng.choices("ab_é", k=rng.randint(0, 9))) for _ in range(2))
+        rows.append((name, prefix, low, low + rng.randint(0, 3)))
+    held = spark.createDataFrame(rows, "agency_name string, prefix string, low int, high int").coalesce(1)
+    for r in matching._bounded(held).collect():
+        own = [distance(r.agency_name[:k], r.prefix) for k in range(len(r.agency_name) + 1)]
+        rest = [len(r.agency_name) - k for k in range(len(own))]
+        bound = min(o + max(r.low - n, n - r.high, 0) for o, n in zip(own, rest))
+        assert tuple(r.least) == (bound, min(own)), r
+
+
+def test_removal_keys_are_one_for_each_text(spark):
+    texts = ["", "a", "aab0", "0000", "éa中", "abcdefgh", "ab" * 33]
+    known = names_df(spark, texts).coalesce(1)
+    for removed in (1, 2):
+        keys = known.select("agency_name", matching._removal_keys(F.col("agency_name"), removed).alias("keys"))
+        for r in keys.collect():
+            left = {r.agency_name}
+            for n in range(1, min(removed, len(r.agency_name)) + 1):
+                left |= {"".join(c) for c in combinations(r.agency_name, len(r.agency_name) - n)}
+            assert len(r["keys"]) == len(set(r["keys"])) == len(left)
+            own = names_df(spark, left).select(matching._removal_keys(F.col("agency_name"), 1).alias("keys"))
+            assert all(set(o["keys"]) & set(r["keys"]) for o in own.collect())
+
+
+def test_far_names_are_spread_and_ties_are_followed_to_earlier_names_only(spark, monkeypatch):
+    monkeypatch.setattr(matching, "TASK_NAMES", 2)
+    entries = [f"customer#{k:09d}" for k in range(3000)]
+    names = [f"the_{e}_{k}" for k, e in enumerate(entries) if k % 300 == 7]
+    real, held = matching.write_through, []
+
+    def write_through(df, label):
+        written = real(df, label)
+        if label == "held":
+            held.append((df.rdd.getNumPartitions(), written.count()))
+        return written
+
+    monkeypatch.setattr(matching, "write_through", write_through)
+    got = matched(matching.closest_match(names_df(spark, names), names_df(spark, entries), array_entries=100))
+    assert got == {n: best(n, entries) for n in names}
+    assert min(tasks for tasks, _ in held) > 1
+    assert held[-1][1] < 12 * len(names)
