@@ -15,6 +15,7 @@ sums within a part, and the sums of the parts are added on reading.
 from __future__ import annotations
 
 import json
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -22,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +40,12 @@ PAGE_ROWS = 2000
 REMEMBERED = 250_000
 #: Words given to the tokenizer at a time.
 TOGETHER = 2000
-#: Marks that a letter word often ends in.
-_TAILS = frozenset(b"%c" % c for c in b".,;:!?")
+#: Marks that a word of letters may end in, how many of them at most, and how many endings are remembered.
+_MARKS = string.punctuation.encode()
+_LONGEST_TAIL = 4
+_TAILS_REMEMBERED = 10_000
+#: Below it letters are Latin, and the same in all versions of Unicode in use.
+_LATIN_END = "\u0250"
 
 
 def _plain(text: str) -> str:
@@ -56,6 +62,14 @@ def _stay_letters(run: str) -> bool:
     return run.isalpha() and unicodedata.is_normalized("NFC", run) and run.lower().isalpha()
 
 
+def _latin(word: bytes) -> bool:
+    """Whether a word is of Latin letters, and remains so when it is normalised and in lower case."""
+    if not word or word.isascii():
+        return False
+    letters = word.decode()
+    return max(letters) < _LATIN_END and _stay_letters(letters)
+
+
 class WordCoder:
     """Ids of words as little-endian bytes, remembered in two generations.
 
@@ -63,9 +77,11 @@ class WordCoder:
     reaches across it, so a text's ids are those of its words in a row. New
     words go to the tokenizer together:
 
-    * words of letters, and those of ASCII letters and one mark, are encoded in
-      one text: the tokenizer makes one or two parts of them, and each part
-      ends in the only token of it that ends a word.
+    * words of letters are encoded in one text: the tokenizer makes one part of
+      each, which ends in the only token of it that ends a word.
+    * of words of Latin letters and some ASCII marks after them, the letters are
+      encoded so, and the marks once; an ending that the tokenizer does not
+      treat as a part of its own is left to the next.
     * other words are encoded with a special token between them, across which
       nothing reaches either; those in which it could begin go alone.
 
@@ -81,7 +97,7 @@ class WordCoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
-        self.tails = {c: self._ids(c.decode()).tobytes() for c in _TAILS}
+        self.tails: dict[bytes, bytes | None] = {}
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -89,74 +105,90 @@ class WordCoder:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(found, dtype="<u4")
 
-    def _alike(self, words: list[bytes], parts: int) -> None:
-        """Learns words that the tokenizer cuts into so many parts each."""
+    def _tail(self, marks: bytes) -> bytes | None:
+        """Ids of marks that follow letters, None if they are no part of their own."""
+        if marks not in self.tails:
+            if len(self.tails) >= _TAILS_REMEMBERED:
+                self.tails.clear()
+            own, letter, both = (self._ids(t).tobytes() for t in (marks.decode(), "a", "a" + marks.decode()))
+            self.tails[marks] = own if both == letter + own else None
+        return self.tails[marks]
+
+    def _letters(self, words: list[bytes], learned: dict[bytes, bytes]) -> None:
+        """Learns words that the tokenizer takes for one part each."""
         for at in range(0, len(words), TOGETHER):
             some = words[at : at + TOGETHER]
             ids = self._ids(b" ".join(some).decode())
-            ends = (np.flatnonzero(self.ends[ids]) + 1)[parts - 1 :: parts]
+            ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):
                 raw, ends = ids.tobytes(), (4 * ends).tolist()
-                self.young.update(
-                    zip(some, [raw[a:b] for a, b in zip([0, *ends], ends)])
-                )
+                learned.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends)]))
             else:  # the tokenizer knows other letters than Python
-                self._others(some)
+                self._others(some, learned)
 
-    def _others(self, words: list[bytes]) -> None:
+    def _others(self, words: list[bytes], learned: dict[bytes, bytes]) -> None:
         start = self.between[:1].encode()
         together = [w for w in words if start and start not in w]
         for w in words:
             if not start or start in w:
-                self.young[w] = self._ids(w.decode()).tobytes()
+                learned[w] = self._ids(w.decode()).tobytes()
         for at in range(0, len(together), TOGETHER):
             part = together[at : at + TOGETHER]
             ids = self._ids(self.between.join(w.decode() for w in part))
             marks = np.flatnonzero(ids == self.mark)
             raw = ids.tobytes()
             for w, a, b in zip(part, [0, *(4 * marks + 4).tolist()], [*(4 * marks).tolist(), None]):
-                self.young[w] = raw[a:b]
+                learned[w] = raw[a:b]
 
     def _learn(self, words: list[bytes]) -> None:
         if not self.ends.any():
-            return self._others(words)
-        letters, rest = [], []
+            return self._others(words, self.young)
+        letters, marked, others = [], [], []
         for w in words:
-            (letters if w.isalpha() else rest).append(w)
-        marked, others = [], []
-        for w in rest:
-            if w[-1:] in _TAILS and w[:-1].isalpha():
-                marked.append(w)
-            elif not w.isascii() and _stay_letters(w.decode()):
+            if w.isalpha():
+                letters.append(w)
+                continue
+            stem = w.rstrip(_MARKS)
+            if 0 < len(w) - len(stem) <= _LONGEST_TAIL and (stem.isalpha() or _latin(stem)):
+                tail = self._tail(w[len(stem) :])
+                if tail is not None:
+                    marked.append((w, stem, tail))
+                    continue
+            if not w.isascii() and _stay_letters(w.decode()):
                 letters.append(w)
             else:
                 others.append(w)
-        self._alike(letters, 1)
-        new = []
-        for w in marked:
-            ids = self.young.get(w[:-1]) or self.old.get(w[:-1])
-            if ids:
-                self.young[w] = ids + self.tails[w[-1:]]
-            else:
-                new.append(w)
-        self._alike(new, 2)
-        self._others(others)
+        self._letters(letters, self.young)
+        self._others(others, self.young)
+        stems = {stem: self.young.get(stem) or self.old.get(stem) for _, stem, _ in marked}
+        self._letters([stem for stem, ids in stems.items() if not ids], stems)
+        self.young.update([(w, stems[stem] + tail) for w, stem, tail in marked])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts; null counts as empty."""
-        words = [_plain(t or "").encode().split() for t in texts]
+        rows = pc.ascii_split_whitespace(pa.array([_plain(t or "") for t in texts], pa.large_string()))
+        coded = rows.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.large_binary()).to_pylist()
         new = []
-        for w in set().union(*words).difference(self.young):
+        for w in set(words).difference(self.young):
             ids = self.old.get(w)
             if ids is None:
                 new.append(w)
             else:
                 self.young[w] = ids
         self._learn(new)
-        found = [b"".join(map(self.young.__getitem__, w)) for w in words]
+        learned = [self.young[w] for w in words]
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
-        return found
+        # The ids of each distinct word go to all its places.
+        sizes = np.array([len(i) // 4 for i in learned], dtype=np.int64)
+        which = coded.indices.to_numpy()
+        counts = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        moved = np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], counts) + np.arange(ends[-1])
+        raw = np.frombuffer(b"".join(learned), dtype="<u4")[moved].tobytes()
+        cuts = (4 * ends[rows.offsets.to_numpy()]).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)

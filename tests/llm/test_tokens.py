@@ -96,6 +96,24 @@ def test_word_ids_are_those_of_the_library(words, library, texts):
     assert [np.frombuffer(i, "<u4").tolist() for i in words.encode(texts)] == expected
 
 
+def test_letters_and_marks_are_encoded_apart(library, monkeypatch):
+    with open(WORDS, "rb") as file:
+        coder = token_store.WordCoder(file.read())
+    apart, alone = ["haus***", "größe.", "Città,$$$", "año", "it's.", "x'"], ["'sword", "a1!", "中。", "б.", "s!!!!!"]
+    real, others = coder._others, []
+
+    def record(words, *learned):
+        others.extend(words)
+        return real(words, *learned)
+
+    monkeypatch.setattr(coder, "_others", record)
+    text = " \t".join(["", *apart, *alone, *apart, "größe"])
+    found = [np.frombuffer(i, "<u4").tolist() for i in coder.encode([text, None, text])]
+    expected = library.encode(text, add_special_tokens=False).ids
+    assert found == [expected, [], expected]
+    assert not {w.lower().encode() for w in apart if w != "it's."} & set(others)
+
+
 def test_stored_tokens_come_back_in_order(spark, documents, odd_texts, library, tmp_path):
     ids = [900 - 7 * i for i in range(len(odd_texts))]
     frame = documents(odd_texts, ids=ids)
