@@ -7,6 +7,9 @@ runs once per distinct unknown name, never per reading.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -15,20 +18,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from countlake.functions.parsing import standard_name
+from countlake.operators.nearest import LONGEST, TextTree
 from countlake.session import path_is_missing, write_through
 
 # A dictionary up to this size is compared as one array inside each name's row.
 ARRAY_ENTRIES = 2000
 ARRAY_CHARS = 1_000_000
 
-# Beyond it, names up to this length first look for entries within two edits.
-INDEXED_LENGTH = 64
-INDEXED_DISTANCE = 2
-
-# Beyond those, such names go down the prefixes of the entries: about so many below each.
+# Beyond it, names up to this length are searched in a tree of the entries.
+INDEXED_LENGTH = LONGEST
+# So many entries or characters of entries are one block, which one task holds.
+BLOCK_ENTRIES = 250_000
+BLOCK_CHARS = 8_000_000
+# Prefixes that tell what is in a block.
 FANOUT = 32
-# Names that one task takes down the prefixes, while tasks are fewer than shuffle partitions.
+# Names that one task takes at least, while tasks are fewer than shuffle partitions.
 TASK_NAMES = 500
+# Pairs of names and prefixes that a task gives at a time.
+PAIRS_TOGETHER = 1 << 20
+
+# Longer names, up to this length, first look for entries within so many edits.
+KEYED_LENGTH = 128
+KEYED_DISTANCE = 1
 # Keys that a task makes at a time.
 KEYS_TOGETHER = 1 << 18
 
@@ -135,11 +146,12 @@ def _removal_keys(text: Column, removed: int) -> Column:
 
 
 def _match_by_keys(names: DataFrame, entries: DataFrame, distance: int) -> DataFrame:
-    """Best entry within ``distance`` edits, by an equi-join on removal keys."""
-    keyed_names = names.filter(F.length("agency_name") <= INDEXED_LENGTH).select(
+    """Best entry within ``distance`` edits of names too long for the tree, by an equi-join on removal keys."""
+    keyed_names = names.filter(F.length("agency_name") <= KEYED_LENGTH).select(
         "agency_name", F.explode(_removal_keys(F.col("agency_name"), distance)).alias("key")
     )
-    keyed_entries = entries.filter(F.length("entry") <= INDEXED_LENGTH + INDEXED_DISTANCE).select(
+    sizes = F.length("entry").between(INDEXED_LENGTH - distance, KEYED_LENGTH + distance)
+    keyed_entries = entries.filter(sizes).select(
         "entry", F.explode(_removal_keys(F.col("entry"), distance)).alias("key")
     )
     # The keys of a text are many times its size, which the optimizer can't see:
@@ -181,39 +193,45 @@ def _match_by_chunks(names: DataFrame, entries: DataFrame, chunk_count: int) ->
     )
 
 
-def _cut_depths(entries: DataFrame) -> list[int]:
-    """Lengths at which entries are cut to prefixes, so that a prefix has about FANOUT longer ones."""
-    longest = entries.agg(F.max(F.length("entry")).alias("n")).first().n or 1
-    last = max(1, min(longest, INDEXED_LENGTH))
-    counts = entries.agg(
-        *[F.approx_count_distinct(F.substring("entry", 1, d)).alias(str(d)) for d in range(1, last + 1)],
-        F.approx_count_distinct("entry").alias("all"),
-    ).first()
-    depths, held = [], 1
-    while not depths or (depths[-1] < last and held * FANOUT < counts["all"]):
-        depth = depths[-1] + 1 if depths else 1
-        while depth < last and counts[str(depth + 1)] <= held * FANOUT:
-            depth += 1
-        depths.append(depth)
-        held = max(counts[str(depth)], 1)
-    return depths
+def _blocks(entries: DataFrame, count: int) -> DataFrame:
+    """The entries in so many blocks (block, entry), each of them the next ones by name."""
+    placed = entries.repartitionByRange(count, "entry").sortWithinPartitions("entry")
+    return write_through(placed.select(F.spark_partition_id().alias("block"), "entry"), "blocks")
 
 
-def _prefix_levels(entries: DataFrame, depths: list[int]) -> list[DataFrame]:
-    """Per depth the prefixes with the one before (parent) and the lengths of what follows (low, high).
+def _block_prefixes(blocks: DataFrame, count: int) -> DataFrame:
+    """Per block about FANOUT prefixes (parent) that together begin all its entries.
 
-    The last level holds the entries. An entry shorter than a depth is its own prefix.
+    ``prefix`` is all that the entries below have in common, ``low`` and
+    ``high`` are the lengths of what follows, ``first`` is the block's first entry.
     """
-    levels = []
-    for depth, before in zip(depths, [0, *depths]):
-        prefix = F.substring("entry", 1, depth)
-        rest = F.length("entry") - F.length(prefix)
-        found = entries.groupBy(F.substring("entry", 1, before).alias("parent"), prefix.alias("prefix")).agg(
-            F.min(rest).alias("low"), F.max(rest).alias("high")
-        )
-        levels.append(write_through(found, "prefixes"))
-    leaves = entries.select(F.substring("entry", 1, depths[-1]).alias("parent"), F.col("entry").alias("prefix"))
-    return [*levels, leaves]
+
+    texts = [(c, pa.binary()) for c in ("parent", "prefix", "first")]
+    schema = pa.schema([*texts, *[(c, pa.int32()) for c in ("low", "high", "block")]])
+
+    def beginning(entry: pa.Scalar, size: int) -> bytes:
+        return entry.as_py().decode("utf-8", "surrogateescape")[:size].encode("utf-8", "surrogateescape")
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(batch["block"], batch["entry"]) for batch in batches if batch.num_rows]
+        if not held:
+            return
+        block, tree = held[0][0][0].as_py(), TextTree(pa.concat_arrays([entry for _, entry in held]))
+        rows = []
+        for depth, low, high in tree.cover(FANOUT):
+            prefix, sizes = beginning(tree.texts[low], depth), tree.size[low:high] - depth
+            rows.append({
+                "parent": prefix, "prefix": prefix, "first": tree.texts[0].as_py(),
+                "low": int(sizes.min()), "high": int(sizes.max()), "block": block,
+            })
+        yield pa.RecordBatch.from_pylist(rows, schema)
+
+    placed = blocks.repartitionById(count, F.col("block")).sortWithinPartitions("entry")
+    found = placed.select("block", F.col("entry").cast("binary")).mapInArrow(
+        prefixes, "parent binary, prefix binary, first binary, low int, high int, block int"
+    )
+    texts = [F.col(c).cast("string") for c in ("parent", "prefix", "first")]
+    return write_through(found.select(*texts, "low", "high", "block"), "prefixes")
 
 
 def _distances_of_beginnings(name: np.ndarray, prefix: np.ndarray, depth: np.ndarray) -> np.ndarray:
@@ -263,50 +281,148 @@ def _below(held: DataFrame, level: DataFrame) -> DataFrame:
     return held.withColumnRenamed("prefix", "parent").join(level, "parent").drop("parent")
 
 
-def _match_by_prefixes(names: DataFrame, entries: DataFrame) -> DataFrame:
+def _prefix_tree(level: DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The prefixes of all blocks with the least and greatest length of entries that begin so."""
+    size = F.length("prefix")
+    rows = (
+        level.groupBy("parent").agg(F.min(size + F.col("low")).alias("low"), F.max(size + F.col("high")).alias("high"))
+        .select(F.col("parent").cast("binary"), "low", "high")
+        .collect()
+    )
+    rows = sorted((bytes(r.parent), r.low, r.high) for r in rows)
+    return [r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+
+
+def _with_prefixes(held: DataFrame, known: tuple[list[bytes], np.ndarray, np.ndarray]) -> DataFrame:
+    """The names with prefixes that entries near them begin with.
+
+    Names without one to beat (``beat``) get the most promising prefix, others
+    all that can begin a nearer entry, or one as near that comes earlier by name.
+    """
+    parents, shortest, longest = known
+    beaten = "beat" in held.columns
+    together = max(1, min(1 << 12, PAIRS_TOGETHER // len(parents)))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = pa.array(parents, pa.binary())
+        tree = TextTree(texts, shortest, longest)
+        for batch in batches:
+            for at in range(0, batch.num_rows, together):
+                part = batch.slice(at, together)
+                if beaten:
+                    ranks = np.array([bisect_right(parents, b) for b in part["closest_match"].to_pylist()], np.int64)
+                    name, found, _ = tree.search(part["agency_name"], part["distance"].to_numpy(), True, ranks)
+                else:
+                    name, found, _ = tree.search(part["agency_name"], np.full(part.num_rows, 1 << 30))
+                columns = [part["agency_name"].take(pa.array(name)), texts.take(pa.array(found))]
+                yield pa.RecordBatch.from_arrays(columns, ["agency_name", "prefix"])
+
+    texts = [F.col("agency_name").cast("binary")]
+    if beaten:
+        closest = F.coalesce("beat.closest_match", F.lit("")).cast("binary")
+        texts += [closest.alias("closest_match"), F.col("beat.distance").alias("distance")]
+    found = held.select(*texts).mapInArrow(prefixes, "agency_name binary, prefix binary")
+    return found.select(*[F.col(c).cast("string") for c in ("agency_name", "prefix")])
+
+
+def _nearest_in_blocks(held: DataFrame, blocks: DataFrame, names_together: int) -> DataFrame:
+    """Best entry of the blocks that the names hold, null if none is within ``most`` edits.
+
+    A task has the entries of one block first, then names that hold it, and
+    takes these a batch at a time.
+    """
+    counts = held.groupBy("block").count().collect()
+    share = np.array([-(-row["count"] // names_together) for row in counts], dtype=np.int32)
+    tasks = int(share.sum())
+    shares = pa.table({
+        "block": pa.array([row.block for row in counts], pa.int32()),
+        "task": (np.cumsum(share) - share).astype(np.int32), "share": share,
+    })
+    shares = F.broadcast(held.sparkSession.createDataFrame(shares))
+    nth = F.pmod(F.xxhash64("agency_name"), F.col("share")).cast("int")
+    own = held.join(shares, "block").select(
+        (F.col("task") + nth).alias("task"), F.lit(True).alias("is_name"), F.col("agency_name").alias("text"),
+        "block", "most",
+    )
+    last = F.col("task") + F.col("share") - 1
+    known = blocks.join(shares, "block").select(
+        F.explode(F.sequence("task", last)).alias("task"), F.lit(False).alias("is_name"), F.col("entry").alias("text"),
+        "block", F.lit(None).cast("int").alias("most"),
+    )
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries, tree = [], None
+        for batch in batches:
+            after = batch.num_rows - batch["is_name"].true_count
+            if after:
+                entries.append(batch["text"].slice(0, after))
+            names = batch.slice(after)
+            if not names.num_rows:
+                continue
+            if tree is None:
+                tree = TextTree(pa.concat_arrays(entries))
+            name, found, distance = tree.search(names["text"], names["most"].to_numpy())
+            place, least = np.zeros(names.num_rows, np.int64), np.zeros(names.num_rows, np.int32)
+            none = np.ones(names.num_rows, dtype=bool)
+            place[name], least[name], none[name] = found, distance, False
+            columns = [
+                names["text"], names["block"], pa.array(least, mask=none),
+                tree.texts.take(pa.array(place, mask=none)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["agency_name", "block", "distance", "closest_match"])
+
+    met = own.unionByName(known).repartitionById(max(tasks, 1), F.col("task")).sortWithinPartitions("is_name", "text")
+    found = met.select("is_name", F.col("text").cast("binary"), "block", "most").mapInArrow(
+        nearest, "agency_name binary, block int, distance int, closest_match binary"
+    )
+    best = F.struct("distance", F.col("closest_match").cast("string").alias("closest_match"))
+    best = F.when(F.col("distance").isNotNull(), best).alias("best")
+    return found.select(F.col("agency_name").cast("string"), "block", best)
+
+
+def _match_by_prefixes(
+    names: DataFrame, entries: DataFrame, entry_count: int, chars: int, max_distance: int | None
+) -> DataFrame:
     """Exact best entry by branch and bound over prefixes of the entries.
 
-    First each name goes down to the most promising prefix of every level; the
-    entry it ends at is the one to beat. Then all prefixes that can hold a
-    nearer entry are followed, or one as near that comes earlier by name, so the
-    best entry is met. Levels are equi-joins on the prefix before. What is
-    compared grows with the prefixes near a name, not with the entries.
+    Blocks of entries are searched as trees. First each name goes to the block
+    with the most promising prefix; its best entry there is the one to beat.
+    Then it goes to all other blocks with a prefix that can begin a nearer entry,
+    or one as near that comes earlier by name. What is compared grows with the
+    prefixes near a name, not with the entries.
     """
-    *levels, leaves = _prefix_levels(entries, _cut_depths(entries))
-    roots = levels[0].agg(F.collect_list(F.struct("prefix", "low", "high")).alias("roots")).scalar()
+    count = max(-(-entry_count // BLOCK_ENTRIES), -(-chars // BLOCK_CHARS))
+    blocks = _blocks(entries, count)
+    level = _block_prefixes(blocks, count)
+    known = _prefix_tree(level)
     # What is held is small and what is compared is not, so the sizes of files and
-    # shuffles don't tell how many tasks a level is worth.
+    # shuffles don't tell how many tasks it is worth.
     most = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(1, min(most, -(-names.count() // TASK_NAMES)))
+    # A task takes names enough to be worth the entries it has to hold.
+    together = max(TASK_NAMES, entry_count // count // 4)
+    limit = (1 << 30) - 1 if max_distance is None else max_distance
 
     def spread(held: DataFrame) -> DataFrame:
         return write_through(held.repartition(tasks), "held")
 
-    def rooted(held: DataFrame) -> DataFrame:
-        return held.withColumn("root", F.explode(roots)).select(*held.columns, "root.*")
-
-    def promising(held: DataFrame) -> DataFrame:
-        least = F.min(F.struct("least.bound", "least.own", "prefix"))
-        first = _bounded(held).groupBy("agency_name").agg(least.alias("first"))
-        return spread(first.select("agency_name", "first.prefix"))
-
     def best(held: DataFrame) -> DataFrame:
-        whole = _bounded(_below(held, leaves).withColumns({"low": F.lit(0), "high": F.lit(0)}))
-        scored = F.struct(F.col("least.bound").alias("distance"), F.col("prefix").alias("closest_match"))
-        return whole.groupBy("agency_name").agg(F.min(scored).alias("best"))
-
-    def possible(held: DataFrame) -> DataFrame:
-        bound, beat = F.col("least.bound"), F.col("beat.distance")
-        better = (bound < beat) | ((bound == beat) & (F.col("prefix") <= F.col("beat.closest_match")))
-        return spread(_bounded(held).filter(better).select("agency_name", "beat", "prefix"))
-
-    held = promising(rooted(spread(names)))
-    for level in levels[1:]:
-        held = promising(_below(held, level))
-    held = possible(rooted(spread(best(held).withColumnRenamed("best", "beat"))))
-    for level in levels[1:]:
-        held = possible(_below(held, level))
-    return best(held)
+        return write_through(_nearest_in_blocks(held, blocks, together), "nearest")
+
+    held = spread(_below(_with_prefixes(spread(names), known), level).select("agency_name", "block"))
+    found = best(held.withColumn("most", F.lit(limit)))
+    if count > 1:
+        # Without an entry within the limit, any within it is better.
+        none = F.struct(F.lit(limit + 1).alias("distance"), F.lit(None).cast("string").alias("closest_match"))
+        beat = F.coalesce(F.min("best"), none).alias("beat")
+        beat = spread(found.groupBy("agency_name").agg(beat, F.collect_set("block").alias("seen")))
+        bound, distance, closest = F.col("least.bound"), F.col("beat.distance"), F.col("beat.closest_match")
+        better = (bound < distance) | ((bound == distance) & (F.col("prefix") <= closest))
+        others = _below(_with_prefixes(beat, known).join(beat, "agency_name"), level)
+        others = _bounded(others.filter(~F.array_contains("seen", F.col("block")))).filter(better)
+        most = F.when(F.col("first") <= closest, distance).otherwise(distance - 1).alias("most")
+        found = found.unionByName(best(spread(others.select("agency_name", "block", most).distinct())))
+    return found.filter("best is not null").groupBy("agency_name").agg(F.min("best").alias("best"))
 
 
 def closest_match(
@@ -329,18 +445,17 @@ def closest_match(
     else:
         entries = write_through(entries, "entries")
         names = write_through(names, "names")
-        # The texts that a name shares grow with the square of the edits: one edit comes first.
-        far, found = names, None
-        for distance in range(1, INDEXED_DISTANCE + 1):
-            near = write_through(_match_by_keys(far, entries, distance), "near")
-            found = found.unionByName(near) if found else near
-            far = write_through(far.join(near, "agency_name", "left_anti"), "far-names")
-        is_long = F.length("agency_name") > INDEXED_LENGTH
-        if max_distance is None or max_distance > INDEXED_DISTANCE:
-            found = found.unionByName(_match_by_prefixes(far.filter(~is_long), entries))
-        if not (long_names := far.filter(is_long)).isEmpty():
+        # Bytes that are no characters count one by one in the tree.
+        is_long = (F.length("agency_name") > INDEXED_LENGTH) | (
+            ~F.is_valid_utf8("agency_name") & (F.octet_length("agency_name") > INDEXED_LENGTH)
+        )
+        found = _match_by_prefixes(names.filter(~is_long), entries, size.n, size.chars, max_distance)
+        if not (long_names := names.filter(is_long)).isEmpty():
+            near = write_through(_match_by_keys(long_names, entries, KEYED_DISTANCE), "near")
+            far = long_names.join(near, "agency_name", "left_anti")
             chunk_count = max(-(-size.n // array_entries), -(-size.chars // ARRAY_CHARS))
-            found = found.unionByName(_match_by_chunks(long_names, entries, chunk_count))
+            found = found.unionByName(near).unionByName(_match_by_chunks(far, entries, chunk_count))
+        found = write_through(found, "matched")
         best = names.join(found, "agency_name", "left")
     match = F.col("best.closest_match")
     if max_distance is not None:
